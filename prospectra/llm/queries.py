@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, token_counts
+from . import packing, pii, quality, token_counts
 from .shared import documents
 
 #: The id of the end-of-document mark in the byte-level vocabulary.
@@ -27,8 +27,20 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"))
 
 
+def op7_information_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sanitise(documents(spark, sf_dir).select("doc_id", "text"))
+    order = F.create_map(*(F.lit(x) for n, k in enumerate([*pii.KINDS, "term", "drop"]) for x in (k, n)))
+    merged = F.sort_array(F.transform(F.concat("base_spans", "term_spans"), lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("rank"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(pii.span_text(F.col("base_spans")), 256).alias("base_sha256"), pii.span_text(merged).alias("spans"), "n_term")
+
+
+def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = quality.measure(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    return quality.judge(measured).select("doc_id", *quality.MEASURES, "base_failed", "kept", "posterior")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op4_packing)}
+    return {f.__name__: f for f in (op1_token_counts, op4_packing, op7_information_sanitisation, op10_weak_supervision)}
 
 
 def oracle_sql() -> dict[str, str]:
