@@ -1,8 +1,8 @@
 """Quality rules by weak supervision: rules vote or abstain, expectation-maximisation weighs them, a posterior decides.
 
 ``measure`` computes counts of each whole text; ``judge`` turns them into votes (1 good, -1 bad, 0 abstains), counts the distinct
-vote patterns over all documents (at most 3 to the number of rules), estimates each rule's accuracy and the share of
-good documents by expectation-maximisation over those counts, and keeps documents whose posterior reaches ``keep_at``. All of it
+vote patterns over all documents (at most 3 to the number of rules), estimates each rule's accuracy on good and on bad documents and the
+share of good documents by expectation-maximisation over those counts (first posteriors: by the number of bad votes), and keeps documents whose posterior reaches ``keep_at``. All of it
 is DataFrame and SQL expressions; the estimate runs as one fold over the pattern table's single row.
 
 Rows: a null text counts as empty and fails; repeated rows get equal results; other columns pass through, and a column named as
@@ -22,12 +22,14 @@ RULES = {
     "length": ("n_words < 50", "n_words >= 100"),
     "word_length": ("word_chars < 2.5D * n_words OR word_chars > 12D * n_words", "word_chars BETWEEN 3D * n_words AND 9D * n_words"),
     "symbols": ("n_symbols > 0.1D * n_words", "n_symbols <= 0.01D * n_words"),
+    "symbol_share": ("n_symbols > 0.03D * word_chars", "n_symbols <= 0.005D * word_chars"),
     "repeated_lines": ("n_dup_lines > 0.3D * n_lines", "n_dup_lines <= 0.05D * n_lines"),
     "repeated_words": ("n_repeat_words > 0.2D * n_words", "n_repeat_words <= 0.05D * n_words"),
     "capitals": ("n_capitals > 0.3D * word_chars", "n_capitals <= 0.1D * word_chars"),
     "sentences": ("n_marks < 0.01D * n_words", "n_marks BETWEEN 0.03D * n_words AND 0.5D * n_words"),
 }
-ITERATIONS, FIRST_ACCURACY, FIRST_PRIOR = 25, 0.7, 0.7
+#: Rounds of the estimate, and what a rule's rates are drawn to, with the weight of two documents.
+ITERATIONS, FIRST_GOOD, FIRST_BAD = 25, 0.8, 0.5
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -67,17 +69,24 @@ def _votes() -> Column:
 
 def pattern_posteriors(voted: DataFrame, votes: str = "votes") -> DataFrame:
     """Distinct vote patterns with the posterior probability that a document with them is good."""
-    rules = len(RULES)
-    posterior = lambda m: f"transform(pats, q -> 1D / (1D + exp(-(ln({m}.prior / (1D - {m}.prior)) + aggregate(zip_with(q.v, {m}.acc, (v, a) -> v * ln(a / (1D - a))), 0D, (s, x) -> s + x)))))"
-    accuracy = "least(0.99D, greatest(0.5D, (1D + aggregate(zip_with(pats, st.post, (q, p) -> q.n * CASE q.v[r] WHEN 1 THEN p WHEN -1 THEN 1D - p ELSE 0D END), 0D, (s, x) -> s + x)) / (2D + aggregate(pats, 0D, (s, q) -> s + q.n * abs(q.v[r])))))"
-    prior = "least(0.99D, greatest(0.01D, (1D + aggregate(zip_with(pats, st.post, (q, p) -> q.n * p), 0D, (s, x) -> s + x)) / (2D + aggregate(pats, 0D, (s, q) -> s + q.n))))"
-    start = f"transform(array(named_struct('prior', {FIRST_PRIOR}D, 'acc', array_repeat({FIRST_ACCURACY}D, {rules}))), m -> named_struct('prior', m.prior, 'acc', m.acc, 'post', {posterior('m')}))[0]"
-    step = f"transform(array(named_struct('prior', {prior}, 'acc', transform(sequence(0, {rules - 1}), r -> {accuracy}))), m -> named_struct('prior', m.prior, 'acc', m.acc, 'post', {posterior('m')}))[0]"
+    rules = len(RULES) - 1
+    # P(votes good | good) is g, P(votes bad | bad) is b, both given that the rule votes; b >= 1 - g, so no vote counts against what it says
+    weigh = "CASE v WHEN 1 THEN ln(a.g / (1D - a.b)) WHEN -1 THEN ln((1D - a.g) / a.b) ELSE 0D END"
+    posterior = f"transform(pats, q -> 1D / (1D + exp(-(ln(m.prior / (1D - m.prior)) + aggregate(zip_with(q.v, m.acc, (v, a) -> {weigh}), 0D, (s, x) -> s + x)))))"
+    total = lambda value: f"aggregate(zip_with(pats, post, (q, p) -> q.n * {value}), 0D, (s, x) -> s + x)"
+    rate = lambda first, hits, votes: f"least(0.99D, greatest(0.01D, ({2 * first}D + {total(hits)}) / (2D + {total(votes)})))"
+    good = rate(FIRST_GOOD, "IF(q.v[r] = 1, p, 0D)", "IF(q.v[r] = 0, 0D, p)")
+    bad = rate(FIRST_BAD, "IF(q.v[r] = -1, 1D - p, 0D)", "IF(q.v[r] = 0, 0D, 1D - p)")
+    prior = f"least(0.95D, greatest(0.05D, (1D + {total('p')}) / (2D + {total('1D')})))"
+    rates = f"transform(sequence(0, {rules}), r -> transform(array(named_struct('g', {good}, 'b', {bad})), a -> named_struct('g', a.g, 'b', greatest(a.b, 1D - a.g)))[0])"
+    step = f"transform(array(named_struct('prior', {prior}, 'acc', {rates})), m -> {posterior})[0]"
+    start = "transform(pats, q -> 1D / (1D + exp(2D * size(filter(q.v, v -> v = -1)) - 2D)))"
     table = voted.groupBy(F.col(votes).alias("v")).agg(F.count("*").cast("double").alias("n")).agg(F.sort_array(F.collect_list(F.struct("v", "n"))).alias("pats"))
-    return table.select("pats", F.expr(f"aggregate(sequence(1, {ITERATIONS}), {start}, (st, i) -> {step})").alias("st")).select(F.explode(F.arrays_zip(F.col("pats.v").alias("v"), F.col("st.post").alias("posterior"))).alias("x")).select(F.col("x.v").alias(votes), "x.posterior")
+    estimated = F.expr(f"aggregate(sequence(1, {ITERATIONS}), {start}, (post, i) -> {step})").alias("post")
+    return table.select("pats", estimated).select(F.explode(F.arrays_zip(F.col("pats.v").alias("v"), F.col("post").alias("posterior"))).alias("x")).select(F.col("x.v").alias(votes), "x.posterior")
 
 
-def judge(measured: DataFrame, keep_at: float = 0.5) -> DataFrame:
+def judge(measured: DataFrame, keep_at: float = 0.25) -> DataFrame:
     """measured rows with votes, posterior, base_failed and kept; written to the shared folder once, as both the estimate and the verdict read them."""
     voted = materialised(measured.drop("votes", "posterior", "base_failed", "kept").withColumn("votes", _votes()), "votes")
     table = pattern_posteriors(voted)  # 3 ** len(RULES) rows at most

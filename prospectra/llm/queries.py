@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, pii, quality, token_counts
+from . import near_duplicates, packing, pii, quality, sentence_spans, token_counts
 from .shared import documents
 
 #: The id of the end-of-document mark in the byte-level vocabulary.
@@ -34,13 +34,21 @@ def op7_information_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(pii.span_text(F.col("base_spans")), 256).alias("base_sha256"), pii.span_text(merged).alias("spans"), "n_term")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(documents(spark, sf_dir), k=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
+def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.remove_repeated_spans(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = quality.measure(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
     return quality.judge(measured).select("doc_id", *quality.MEASURES, "base_failed", "kept", "posterior")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op4_packing, op7_information_sanitisation, op10_weak_supervision)}
+    return {f.__name__: f for f in (op1_token_counts, op4_packing, op7_information_sanitisation, op8_near_duplicates, op9_sentence_spans, op10_weak_supervision)}
 
 
 def oracle_sql() -> dict[str, str]:
