@@ -6,9 +6,10 @@ a shingle's share of all coordinates is one contiguous slice of a fixed table. B
 from the threshold so that a pair at the threshold escapes every bucket with a probability of 1e-8 at most.
 
 Documents with equal sets form a class, and only classes are compared. Within a bucket no pairs are listed: every class is verified
-against the bucket's pivot, components are built, and only classes outside their pivot's component are compared with the
-bucket's others, less those that the triangle inequality (Jaccard distance is a metric) or the sizes rule out. Links are
-confirmed on the full sets, so no link between different texts that share a bucket is lost.
+against the bucket's pivot, components are built, and only classes outside their pivot's component still need a partner. In small buckets they meet
+those that the triangle inequality (Jaccard distance is a metric) and the sizes allow; in crowded ones they meet the classes that share
+enough of what sets them apart from the pivot, found by a prefix-filtered join on those differences. Both ways are exact, links are
+confirmed on the full sets, and no link between different texts that share a bucket is lost.
 
 Rows: null and blank texts have empty sets and are linked with nothing; repeated rows and ids each keep a row, and ids are
 compared, not rows, so rows that share an id share the verdict; null ids come after all others; other columns pass through; an empty table
@@ -30,6 +31,8 @@ from .shared import materialised, text_or_empty
 SLOT_BITS, SEED, MISS, MOST_BANDS = 20, 20240607, 1e-8, 48
 #: Ids that are sent to every executor at most, as a hash table (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
+#: Buckets of so many classes at most list the pairs that pass the triangle inequality; larger ones join on differences from their pivot.
+CROWD = 16
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _CACHE_WORDS = 500_000
 
@@ -158,6 +161,34 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return counted.select("a", "b", (1 - F.col("common") / union).alias("distance"), (100 * F.col("common") >= percent * union).alias("linked"))
 
 
+def _differences(around: DataFrame, sets: DataFrame) -> DataFrame:
+    """(pivot, class_id, n, label_class_id, outside) with the pivot's size, how many shingles are gone and come, and all of those as elements."""
+    with_pivot = around.join(sets.select(F.col("class_id").alias("pivot"), F.col("shingles").alias("sp")), "pivot")
+    both = with_pivot.join(sets.select("class_id", "shingles"), "class_id")
+    cut = both.select("pivot", "class_id", "n", "label_class_id", "outside", F.size("sp").alias("p"), F.array_except("sp", "shingles").alias("gone"), F.array_except("shingles", "sp").alias("come"))
+    marked = F.transform("gone", lambda v: v.bitwiseXOR(F.lit(0x5555555555555555)))  # a shingle that went is another element than one that came
+    return cut.select("pivot", "class_id", "n", "label_class_id", "outside", "p", F.size("gone").alias("gone"), F.size("come").alias("come"), F.concat(marked, "come").alias("elements"))
+
+
+def _sharing(differences: DataFrame, threshold: float) -> DataFrame:
+    """differences with the elements by which links of outsiders are found, rarest first.
+
+    x and y with the same pivot of p shingles share p - gone(x) - gone(y) + c, c being the number of their common elements, so they are linked iff
+    c >= w(x) + w(y) - slack, with t = threshold / (1 + threshold), w = (1 - t) gone + t come and slack = (1 - 2 t) p. An outsider has w > slack.
+    Hence c > w(y), and c >= w(x) - slack + t. Two sets with c common elements share one among the first size - c + 1 of either in any
+    common order.
+    """
+    t = threshold / (1 + threshold)
+    cells = differences.select("pivot", "class_id", F.explode("elements").alias("element"))
+    often = cells.groupBy("pivot", "element").agg(F.count("*").alias("times")).filter("times > 1")
+    ranked = cells.join(often, ["pivot", "element"]).groupBy("pivot", "class_id").agg(F.sort_array(F.collect_list(F.struct("times", "element")))["element"].alias("ranked"))
+    size, w = F.col("gone") + F.col("come"), (1 - t) * F.col("gone") + t * F.col("come")
+    # what occurs once stands first and meets nothing
+    prefix = lambda least: F.slice("ranked", 1, F.greatest(size - F.greatest(F.ceil(least - 1e-6), F.lit(1)) + 1 - (size - F.size("ranked")), F.lit(0)).cast("int"))
+    slack = (1 - 2 * t) * F.col("p")
+    return differences.join(ranked, ["pivot", "class_id"]).select("pivot", "class_id", "n", "label_class_id", "outside", "gone", "come", F.size("ranked").alias("ranked_size"), w.alias("w"), slack.alias("slack"), prefix(w - slack + t).alias("as_outsider"), prefix(w).alias("as_any"))
+
+
 def classes_and_components(docs: DataFrame, k: int, percent: int, id: str, text: str) -> DataFrame:
     """id, class_id, n_shingles, component_id for every row of docs."""
     threshold = percent / 100
@@ -167,8 +198,12 @@ def classes_and_components(docs: DataFrame, k: int, percent: int, id: str, text:
     classes = prints.filter("n_shingles > 0").groupBy("class_id").agg(F.min("id").alias("first_id"), F.min("text_key").alias("text_key"), F.max("n_shingles").alias("n"))
 
     spread = prints.filter("n_shingles > 0").select("class_id", F.explode("keys").alias("key"))
-    shared = spread.groupBy("key").agg(F.min("class_id").alias("pivot"), F.max("class_id").alias("last")).filter("pivot <> last").select("key", "pivot")
-    members = materialised(spread.join(shared, "key").groupBy("key", "pivot", "class_id").agg(F.lit(1).alias("one")).drop("one"), "buckets")
+    shared = spread.groupBy("key").agg(F.min("class_id").alias("least"), F.max("class_id").alias("last")).filter("least <> last").select("key")
+    inside = materialised(spread.join(shared, "key").groupBy("key", "class_id").agg(F.lit(1).alias("one")).drop("one"), "buckets")
+    # a bucket's pivot is the class that shares most keys with most others: copies are nearer to what they were copied from than to each other
+    central = inside.join(inside.groupBy("key").agg(F.count("*").alias("size")), "key").groupBy("class_id").agg(F.sum("size").alias("weight"))
+    pivots = inside.join(central, "class_id").groupBy("key").agg(F.max(F.struct("weight", "class_id"))["class_id"].alias("pivot"))
+    members = materialised(inside.join(pivots, "key").select("key", "pivot", "class_id"), "members")
     stars = members.filter("class_id <> pivot").select(F.col("pivot").alias("a"), F.col("class_id").alias("b")).distinct()
     needed = materialised(members.select("class_id").distinct().join(classes, "class_id").select("class_id", "text_key", "n"), "needed")
     texts = with_ids(keyed.select("text_key", "text"), needed.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
@@ -182,11 +217,23 @@ def classes_and_components(docs: DataFrame, k: int, percent: int, id: str, text:
     label = lambda node: F.coalesce(F.col("label"), F.col(node)).alias(f"label_{node}")
     placed = members.join(distances, ["pivot", "class_id"], "left").join(needed.select("class_id", "n"), "class_id")
     placed = placed.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("key", "pivot", "class_id", "n", F.coalesce("distance", F.lit(0.0)).alias("distance"), label("class_id"))
-    placed = placed.join(found.withColumnRenamed("node", "pivot"), "pivot", "left").select("key", "class_id", "n", "distance", "label_class_id", label("pivot"))
+    placed = placed.join(found.withColumnRenamed("node", "pivot"), "pivot", "left").select("key", "pivot", "class_id", "n", "distance", "label_class_id", label("pivot"))
     placed = materialised(placed.withColumn("outside", F.col("label_class_id") != F.col("label_pivot")), "placed")
-    x, y = placed.filter("outside").alias("x"), placed.alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label_class_id") != F.col("y.label_class_id")) & (F.abs(F.col("x.distance") - F.col("y.distance")) <= far + 1e-9) & (F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n") - 1e-9) & (F.col("y.distance") > 0))
-    pairs = rest.select(F.least("x.class_id", "y.class_id").alias("a"), F.greatest("x.class_id", "y.class_id").alias("b")).distinct()
+    crowds = placed.groupBy("key").agg(F.count("*").alias("crowd"), F.max("outside").alias("open")).filter("open").drop("open")
+    unsettled = placed.join(crowds, "key")
+    x, y = unsettled.filter(f"outside AND crowd <= {CROWD}").alias("x"), unsettled.filter(f"crowd <= {CROWD}").alias("y")
+    apart = (F.col("x.label_class_id") != F.col("y.label_class_id")) & (F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n") - 1e-9)
+    few = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & (F.abs(F.col("x.distance") - F.col("y.distance")) <= far + 1e-9) & (F.col("y.distance") > 0))
+    around = unsettled.filter((F.col("crowd") > CROWD) & (F.col("distance") > 0)).groupBy("pivot", "class_id").agg(F.max("n").alias("n"), F.max("label_class_id").alias("label_class_id"), F.max("outside").alias("outside"))
+    sharing = materialised(_sharing(materialised(_differences(around, sets), "differences"), threshold), "sharing")
+    x, y = (d.select("*", F.posexplode(prefix).alias("at", "element")).drop("as_outsider", "as_any").alias(name) for d, prefix, name in ((sharing.filter("outside"), "as_outsider", "x"), (sharing, "as_any", "y")))
+    needed_common = F.col("x.w") + F.col("y.w") - F.col("x.slack") - 1e-6
+    most = F.least("x.gone", "y.gone") + F.least("x.come", "y.come")
+    left = lambda d: F.col(f"{d}.ranked_size") - F.col(f"{d}.at")
+    # if this is the first element in common, no more than what follows can be
+    many = x.join(y, (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.element") == F.col("y.element")) & apart & (most >= needed_common) & (F.least(left("x"), left("y")) >= needed_common))
+    pair = [F.least("x.class_id", "y.class_id").alias("a"), F.greatest("x.class_id", "y.class_id").alias("b")]
+    pairs = few.select(*pair).union(many.select(*pair)).distinct()
     more = materialised(_links(pairs, sets, percent).filter("linked"), "more-links")
     if more.limit(1).count():
         found = components(checked.filter("linked").select("a", "b").union(more.select("a", "b")))
