@@ -15,13 +15,15 @@ from .arrays import name_tokens
 
 def page_type(url, anchor, homepage) -> Column:
     """other unless the last segment, then the anchor, then a lone segment names a type."""
-    last, shown = U.terminal(url), T.match_key(anchor)
-    lone = F.when(F.size(U.segments(url)) == 1, F.translate(last, "-_", "  ")).otherwise("")
-    out = F.when(P.is_homepage(url, homepage) | P.excluded_path(url) | (last == "") | P.content_slug(url), "other")
-    for table, key in ((R.PAGE_PATTERNS, last), (R.ANCHOR_PATTERNS, shown)):
-        for kind, names in table.items():
-            out = out.when(key.isin(*names), kind)
-    return out.otherwise(T.lookup(lone, R.SINGLE_SEGMENTS, F.lit("other")))
+    of = lambda table: {name: kind for kind, names in reversed(table.items()) for name in names}
+
+    def judged(u: Column, parts: Column, last: Column) -> Column:
+        nothing = P.is_homepage(u, homepage) | P.excluded_segments(parts) | (last == "") | T.bind(F.translate(last, "-", " "), P.slug_words)
+        lone = F.when(F.size(parts) == 1, F.translate(last, "-_", "  ")).otherwise("")
+        by_place = T.lookup(T.match_key(anchor), of(R.ANCHOR_PATTERNS), T.lookup(lone, R.SINGLE_SEGMENTS, F.lit("other")))
+        return F.when(nothing, "other").otherwise(T.lookup(last, of(R.PAGE_PATTERNS), by_place))
+
+    return T.bind(T.column(url), lambda u: T.bind(U.segments(u), lambda parts: T.bind(U.last(parts), lambda last: judged(u, parts, last))))
 
 
 def page_score(kind: Column) -> Column:
@@ -30,27 +32,26 @@ def page_score(kind: Column) -> Column:
 
 def role(value) -> Column:
     """(title, kind) of the first role in order that the text names; both empty if none."""
-    x = T.clean_text(value)
-    found = lambda at: reduce(lambda w, r: w.when(x.rlike(f"(?i){r[0]}"), r[at]), R.ROLES[1:], F.when(x.rlike(f"(?i){R.ROLES[0][0]}"), R.ROLES[0][at])).otherwise("")
-    return F.struct(found(1).alias("title"), found(2).alias("kind"))
+
+    def first(x: Column) -> Column:
+        pair = lambda title, kind: F.struct(F.lit(title).alias("title"), F.lit(kind).alias("kind"))
+        return reduce(lambda w, r: w.when(x.rlike(f"(?i){r[0]}"), pair(*r[1:])), R.ROLES, F.when(x == "", pair("", ""))).otherwise(pair("", ""))
+
+    return T.bind(T.clean_text(value), first)
 
 
 def extracted_designation(value) -> Column:
     """The whole clean text when short, else the role's title."""
-    x, r = T.clean_text(value), role(value)
-    return F.struct(F.when(r["title"] == "", "").when(F.length(x) <= R.MAX_ROLE_CHARS, x).otherwise(r["title"]).alias("designation"), r["kind"].alias("leadership_type"))
+    shown = lambda x, r: F.struct(F.when(r["title"] == "", "").when(F.length(x) <= R.MAX_ROLE_CHARS, x).otherwise(r["title"]).alias("designation"), r["kind"].alias("leadership_type"))
+    return T.bind(T.clean_text(value), lambda x: T.bind(role(x), lambda r: shown(x, r)))
 
 
 def leadership_type(supplied, title) -> Column:
     """By the title first: board, then chiefs, then executives; then what was supplied."""
-    low = F.lower(T.designation(title))
     chiefs = rf"\bchief\s+(?:{R.CHIEF_ROLES})\s+officer\b|\bmanaging\s+director\b"
-    return (
-        F.when(low.rlike(rf"\b(?:{'|'.join(R.BOARD_ROLES)})\b") | low.rlike(r"\A\s*(?:lead\s+)?director\s*\z"), "Board")
-        .when(low.rlike(chiefs), "CXO")
-        .when(low.rlike(rf"\b(?:{'|'.join(R.EXECUTIVE_ROLES)})\b"), "Executive Leadership")
-        .otherwise(T.lookup(T.match_key(supplied), R.SUPPLIED_TYPES, F.lit("Unknown")))
-    )
+    board = rf"\b(?:{'|'.join(R.BOARD_ROLES)})\b|\A\s*(?:lead\s+)?director\s*\z"
+    named = lambda low: F.when(low.rlike(board), "Board").when(low.rlike(chiefs), "CXO").when(low.rlike(rf"\b(?:{'|'.join(R.EXECUTIVE_ROLES)})\b"), "Executive Leadership")
+    return T.bind(F.lower(T.designation(title)), lambda low: named(low).otherwise(T.lookup(T.match_key(supplied), R.SUPPLIED_TYPES, F.lit("Unknown"))))
 
 
 def priority(kind) -> Column:
@@ -70,14 +71,14 @@ def source_status(code, content_type, error) -> Column:
 
 
 def source_quality(method, url) -> Column:
-    u = U.strict_url(url)
-    return T.lookup(T.match_key(method), R.METHOD_BONUS, F.lit(10)) + F.when(u == "", 0).otherwise(15) + F.when((u != "") & (U.host(u) != ""), 10).otherwise(0)
+    place = T.bind(U.strict_url(url), lambda u: F.when(u == "", 0).when(U.host(u) == "", 15).otherwise(25))
+    return T.lookup(T.match_key(method), R.METHOD_BONUS, F.lit(10)) + place
 
 
 def role_quality(title: Column, kind: Column) -> Column:
-    low = F.lower(title)
-    base = F.when(kind == "CXO", 25).when(kind.isin("Board", "Executive Leadership"), 20).otherwise(0)
-    return F.least(base + sum(F.when(F.contains(low, F.lit(w)), 10).otherwise(0) for w in ("chief", "officer", "managing director")), F.lit(50))
+    base = T.bind(kind, lambda k: F.when(k == "CXO", 25).when(k.isin("Board", "Executive Leadership"), 20).otherwise(0))
+    words = T.bind(F.lower(title), lambda low: sum(F.when(F.contains(low, F.lit(w)), 10).otherwise(0) for w in ("chief", "officer", "managing director")))
+    return F.least(base + words, F.lit(50))
 
 
 def quality_score(name, title, supplied, method, url, company) -> Column:
@@ -95,21 +96,20 @@ def validation_reason(name, title, names_another: Column, url, company) -> Colum
 
 
 def name_match_score(name, candidate) -> Column:
-    tokens, low = name_tokens(name), T.match_key(candidate)
-    hits = F.size(F.filter(tokens, lambda t: F.contains(low, t)))
-    return F.when(F.size(tokens) == 0, 0).when(hits == F.size(tokens), 70).when(hits >= 2, 50).when(hits == 1, 20).otherwise(0)
+    points = lambda n, hits: F.when(n == 0, 0).when(hits == n, 70).when(hits >= 2, 50).when(hits == 1, 20).otherwise(0)
+    hits = lambda tokens: T.bind(T.match_key(candidate), lambda low: F.size(F.filter(tokens, lambda t: F.contains(low, t))))
+    return T.bind(name_tokens(name), lambda tokens: T.bind(hits(tokens), lambda h: points(F.size(tokens), h)))
 
 
 def path_score(url) -> Column:
-    path = F.lower(U.bare_path(url))
-    count = lambda terms: sum(F.when(F.contains(path, F.lit(t)), 1).otherwise(0) for t in terms)
-    return F.greatest(12 * count(R.PROFILE_TERMS) - 20 * count(R.IGNORED_TERMS), F.lit(0))
+    count = lambda path, terms: sum(F.when(F.contains(path, F.lit(t)), 1).otherwise(0) for t in terms)
+    return T.bind(F.lower(U.bare_path(url)), lambda path: F.greatest(12 * count(path, R.PROFILE_TERMS) - 20 * count(path, R.IGNORED_TERMS), F.lit(0)))
 
 
 def role_match_score(title, candidate) -> Column:
-    a, b = T.match_key(title), T.match_key(candidate)
-    shared = sum(F.when(F.contains(a, F.lit(t)) & F.contains(b, F.lit(t)), 1).otherwise(0) for t in R.MATCH_TERMS)
-    return F.when((a == "") | (b == ""), 0).when(F.contains(b, a), 35).otherwise(F.least(8 * shared, F.lit(25)))
+    shared = lambda a, b: sum(F.when(F.contains(a, F.lit(t)) & F.contains(b, F.lit(t)), 1).otherwise(0) for t in R.MATCH_TERMS)
+    points = lambda a, b: F.when((a == "") | (b == ""), 0).when(F.contains(b, a), 35).otherwise(F.least(8 * shared(a, b), F.lit(25)))
+    return T.bind(T.match_key(title), lambda a: T.bind(T.match_key(candidate), lambda b: points(a, b)))
 
 
 def link_score(name, title, url, anchor, context) -> Column:

@@ -35,8 +35,7 @@ def phones(text) -> Column:
 def phone_cell(value) -> Column:
     """A listed phone without guesses: marks for extensions stay, other letters go; too short gives nothing."""
     x = F.regexp_replace(T.clean_text(value), r"(?i)\b(?:ext\.?|extension)\s*", " x")
-    x = T.clean_text(F.regexp_replace(x, r"[^0-9+()xX.\-\s]", ""))
-    return F.when(F.length(P.digits(x)) < 7, "").otherwise(x)
+    return T.bind(T.clean_text(F.regexp_replace(x, r"[^0-9+()xX.\-\s]", "")), lambda x: F.when(F.length(P.digits(x)) < 7, "").otherwise(x))
 
 
 def bio_excerpt(page_text, name, title) -> Column:
@@ -44,10 +43,14 @@ def bio_excerpt(page_text, name, title) -> Column:
     from .arrays import name_tokens
     from .classify import role_match_score
 
-    page, low = T.clean_text(page_text), T.match_key(page_text)
-    tokens = name_tokens(name)
-    at = F.position(T.match_key(name), low) - 1
-    start = F.greatest(at - 120, F.lit(0))
-    cut = T.clean_text(F.substring(page, start + 1, F.least(at + 700, F.length(page)) - start))
-    found = (F.size(tokens) > 0) & F.forall(tokens, lambda t: F.contains(low, t)) & (role_match_score(title, page_text) > 0) & (at >= 0) & (F.length(cut) >= 40)
-    return F.when(found, F.substring(cut, 1, 700)).otherwise("")
+    def cut(page: Column, at: Column) -> Column:
+        start = F.greatest(at - 120, F.lit(0))
+        return T.clean_text(F.substring(page, start + 1, F.least(at + 700, F.length(page)) - start))
+
+    def found(page: Column, low: Column, tokens: Column) -> Column:
+        named = (F.size(tokens) > 0) & F.forall(tokens, lambda t: F.contains(low, t)) & (role_match_score(title, page) > 0)
+        at = F.position(T.match_key(name), low) - 1
+        piece = T.bind(at, lambda p: F.when(p >= 0, cut(page, p)).otherwise(""))
+        return F.when(named, T.bind(piece, lambda x: F.when(F.length(x) >= 40, F.substring(x, 1, 700)).otherwise(""))).otherwise("")
+
+    return T.bind(T.clean_text(page_text), lambda page: T.bind(F.lower(page), lambda low: T.bind(name_tokens(name), lambda tokens: found(page, low, tokens))))

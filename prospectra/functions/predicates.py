@@ -25,12 +25,16 @@ def same_domain(a, b) -> Column:
 
 
 def same_company_domain(a, b) -> Column:
-    x, y = U.host(a), U.host(b)
-    return (x != "") & (y != "") & ((x == y) | F.endswith(x, F.concat(F.lit("."), y)) | F.endswith(y, F.concat(F.lit("."), x)))
+    related = lambda x, y: (x != "") & (y != "") & ((x == y) | F.endswith(x, F.concat(F.lit("."), y)) | F.endswith(y, F.concat(F.lit("."), x)))
+    return T.bind(U.host(a), lambda x: T.bind(U.host(b), lambda y: related(x, y)))
 
 
 def excluded_path(url) -> Column:
-    return F.exists(U.segments(url), lambda s: s.isin(*R.EXCLUDED_SEGMENTS) | holds_any(s, R.EXCLUDED_KEYWORDS))
+    return excluded_segments(U.segments(url))
+
+
+def excluded_segments(segments: Column) -> Column:
+    return F.exists(segments, lambda s: s.isin(*R.EXCLUDED_SEGMENTS) | holds_any(s, R.EXCLUDED_KEYWORDS))
 
 
 def is_homepage(url, homepage) -> Column:
@@ -38,14 +42,19 @@ def is_homepage(url, homepage) -> Column:
 
 
 def content_slug(url) -> Column:
-    words = F.regexp_replace(U.terminal(url), "-", " ")
-    return (U.terminal(url) != "") & ((F.size(F.filter(F.split(words, r"\s+"), lambda w: w != "")) >= 4) | holds_any(words, R.CONTENT_SIGNALS))
+    return T.bind(F.translate(U.terminal(url), "-", " "), slug_words)
+
+
+def slug_words(words: Column) -> Column:
+    return (words != "") & ((F.size(F.filter(F.split(words, r"\s+"), lambda w: w != "")) >= 4) | holds_any(words, R.CONTENT_SIGNALS))
 
 
 def likely_person_name(value) -> Column:
     """The careful rule of extraction: a false name costs more than a missed one."""
-    name = T.person_name(value)
-    low, words = F.lower(name), F.split(F.lower(name), " ")
+    return T.bind(T.person_name(value), lambda name: T.bind(F.lower(name), lambda low: T.bind(F.split(low, " "), lambda words: _likely(name, low, words))))
+
+
+def _likely(name: Column, low: Column, words: Column) -> Column:
     return (
         (name != "") & ~low.isin(*R.INVALID_NAMES) & ~holds_any(low, R.INVALID_NAME_PHRASES) & F.length(name).between(3, 100) & (F.size(words) <= 7)
         & ~low.rlike(r"@|http|www\.|\.com")
@@ -57,8 +66,11 @@ def likely_person_name(value) -> Column:
 
 def person_like(value) -> Column:
     """The rule of validation."""
-    name = T.person_name_strict(value)
-    low, words = F.lower(name), F.filter(F.split(F.lower(name), " "), lambda w: w != "")
+    split = lambda low: F.filter(F.split(low, " "), lambda w: w != "")
+    return T.bind(T.person_name_strict(value), lambda name: T.bind(F.lower(name), lambda low: T.bind(split(low), lambda words: _person_like(name, low, words))))
+
+
+def _person_like(name: Column, low: Column, words: Column) -> Column:
     letters = F.length(F.regexp_replace(name, r"[^\p{L}]", ""))
     return (
         (name != "") & ~holds_any(low, R.BLOCKED_PHRASES) & F.length(name).between(4, 100) & F.size(words).between(2, 7) & (letters >= 3)
@@ -67,7 +79,10 @@ def person_like(value) -> Column:
 
 
 def clean_designation(value) -> Column:
-    x = T.designation(value)
+    return T.bind(T.designation(value), _clean_title)
+
+
+def _clean_title(x: Column) -> Column:
     low = F.lower(x)
     return (x != "") & (F.length(x) <= R.MAX_ROLE_CHARS) & ~holds_any(low, R.BLOCKED_PHRASES) & ~low.rlike("https?://") & holds_any(low, R.ROLE_TERMS)
 
@@ -96,7 +111,6 @@ def generic_anchor(url) -> Column:
 
 def profile_url(url, name, needs_fragment: bool = True) -> Column:
     """needs_fragment: off, pages without a fragment can be profiles too."""
-    path = F.lower(U.bare_path(url))
-    slug = F.regexp_replace(path, "[^a-z0-9]+", "-")
-    found = holds_any(path, R.PROFILE_TERMS) & F.exists(name_tokens(name), lambda t: F.contains(slug, t))
+    names = lambda slug: F.exists(name_tokens(name), lambda t: F.contains(slug, t))
+    found = T.bind(F.lower(U.bare_path(url)), lambda path: holds_any(path, R.PROFILE_TERMS) & T.bind(F.regexp_replace(path, "[^a-z0-9]+", "-"), names))
     return found & ~generic_anchor(url) if needs_fragment else found

@@ -13,6 +13,11 @@ def column(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def bind(value: Column, body) -> Column:
+    """body(value) with value evaluated once and standing once in the plan, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def clean_text(value: str | Column) -> Column:
     """Runs of Unicode white space become one space; none at the ends."""
     return F.btrim(F.regexp_replace(F.coalesce(column(value).cast("string"), F.lit("")), r"(?U)\s+", " "))
@@ -27,8 +32,7 @@ def strip(value: Column, characters: str) -> Column:
 
 
 def company_name_valid(value: str | Column) -> Column:
-    x = clean_text(value)
-    return F.length(x).between(2, 200) & x.rlike(f"[{R.LATIN}0-9]")
+    return bind(clean_text(value), lambda x: F.length(x).between(2, 200) & x.rlike(f"[{R.LATIN}0-9]"))
 
 
 def person_name(value: str | Column) -> Column:
@@ -50,15 +54,13 @@ def designation(value: str | Column) -> Column:
 
 
 def lookup(key: Column, table: dict[str, object], default: Column) -> Column:
-    """A short fixed table as one CASE."""
-    out = None
-    for k, v in table.items():
-        out = F.when(key == k, F.lit(v)) if out is None else out.when(key == k, F.lit(v))
-    return out.otherwise(default)
+    """A short fixed table as a map."""
+    entries = F.create_map(*(F.lit(x) for pair in table.items() for x in pair))
+    return F.coalesce(entries[key], default)
 
 
 def export_type(value: str | Column) -> Column:
-    return lookup(match_key(value), R.EXPORT_TYPES, clean_text(value))
+    return bind(clean_text(value), lambda x: lookup(F.lower(x), R.EXPORT_TYPES, x))
 
 
 def row_clean(df: DataFrame) -> DataFrame:

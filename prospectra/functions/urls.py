@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from . import rules as R
-from .text import clean_text, column
+from .text import bind, clean_text, column
 
 #: Groups: scheme, authority with slashes, authority, path, query, fragment.
 PATTERN = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -45,34 +45,38 @@ def _asked(query: Column) -> Column:
 
 def input_url(value: str | Column) -> Column:
     """As typed by people: https unless said otherwise; parameters and fragment go."""
-    x = clean_text(value)
-    full = F.when(x.rlike("(?i)^https?://"), x).otherwise(F.concat(F.lit("https://"), x))
-    built = F.concat(part(full, "scheme"), F.lit("://"), F.lower(part(full, "authority")), _or_root(bare_path(full)), _asked(part(full, "query")))
-    return F.when((x == "") | ~is_web_url(full), "").otherwise(built)
+
+    def built(full: Column) -> Column:
+        url = F.concat(part(full, "scheme"), F.lit("://"), F.lower(part(full, "authority")), bind(bare_path(full), _or_root), bind(part(full, "query"), _asked))
+        return F.when(is_web_url(full), url).otherwise("")
+
+    typed = lambda x: F.when((x == "") | x.rlike("(?i)^https?://"), x).otherwise(F.concat(F.lit("https://"), x))
+    return bind(bind(clean_text(value), typed), built)
 
 
 def crawl_url(value: str | Column, base: str | Column | None = None) -> Column:
     """For comparing fetched pages: resolved, without www., user and fragment; empty if too long or not of the web."""
-    x = clean_text(value)
-    full = F.regexp_replace(x if base is None else F.when(x == "", "").otherwise(resolve(base, x)), "#.*$", "")
-    port = F.regexp_extract(part(full, "authority"), r":([^:@\]]*)$", 1)
-    shown = F.when(port.rlike("^0*$"), "").otherwise(F.concat(F.lit(":"), F.regexp_replace(port, "^0+", "")))
-    built = F.concat(part(full, "scheme"), F.lit("://"), host(full), shown, _or_root(bare_path(full)), _asked(part(full, "query")))
-    bad = (x == "") | (F.length(full) > R.MAX_URL_LENGTH) | ~is_web_url(full) | (host(full) == "") | ~port.rlike("^[0-9]*$") | (F.length(port) > 5) | (F.coalesce(F.try_to_number(port, F.lit("99999")), F.lit(0)) > 65535)
-    return F.when(bad, "").otherwise(built)
+
+    def built(full: Column, port: Column, name: Column) -> Column:
+        shown = F.when(port.rlike("^0*$"), "").otherwise(F.concat(F.lit(":"), F.regexp_replace(port, "^0+", "")))
+        url = F.concat(part(full, "scheme"), F.lit("://"), name, shown, bind(bare_path(full), _or_root), bind(part(full, "query"), _asked))
+        good = (F.length(full) <= R.MAX_URL_LENGTH) & is_web_url(full) & (name != "") & port.rlike("^[0-9]{0,5}$") & (F.coalesce(F.substring(port, 1, 5).try_cast("int"), F.lit(0)) <= 65535)
+        return F.when(good, url).otherwise("")
+
+    absolute = clean_text(value) if base is None else bind(clean_text(value), lambda x: F.when(x == "", "").otherwise(resolve(base, x)))
+    port = lambda full: F.regexp_extract(part(full, "authority"), r":([^:@\]]*)$", 1)
+    return bind(F.regexp_replace(absolute, "#.*$", ""), lambda full: bind(port(full), lambda p: bind(host(full), lambda h: built(full, p, h))))
 
 
 def strict_url(value: str | Column) -> Column:
     """For evidence: kept as it is but for trailing slashes; empty unless absolute."""
-    x = clean_text(value)
-    return F.when(is_web_url(x), F.regexp_replace(x, "/+$", "")).otherwise("")
+    return bind(clean_text(value), lambda x: F.when(is_web_url(x), F.regexp_replace(x, "/+$", "")).otherwise(""))
 
 
 def domain_of(value: str | Column) -> Column:
     """The host of a URL, or what stands before the first slash of a bare domain."""
-    x = clean_text(value)
-    bare = F.regexp_replace(F.lower(F.regexp_extract(x, "^[^/]*", 0)), r"^www\.", "")
-    return F.when(part(x, "authority") != "", host(x)).otherwise(bare)
+    bare = lambda x: F.regexp_replace(F.lower(F.regexp_extract(x, "^[^/]*", 0)), r"^www\.", "")
+    return bind(clean_text(value), lambda x: F.when(part(x, "authority") != "", host(x)).otherwise(bare(x)))
 
 
 def segments(url: str | Column) -> Column:
@@ -82,25 +86,33 @@ def segments(url: str | Column) -> Column:
 
 
 def terminal(url: str | Column) -> Column:
-    return F.coalesce(F.try_element_at(segments(url), F.lit(-1)), F.lit(""))
+    return last(segments(url))
+
+
+def last(parts: Column) -> Column:
+    return F.coalesce(F.try_element_at(parts, F.lit(-1)), F.lit(""))
 
 
 def _joined(base_path: Column, path: Column) -> Column:
     """Dot segments are taken back from the growing path, which is a string: '..' cuts its last segment."""
-    folder = F.regexp_replace(base_path, "[^/]+$", "")
-    relative = F.regexp_replace(F.concat(F.when(folder == "", "/").otherwise(folder), path), "(?<=.)/+(?=/)|(?<=^/)/+", "")
-    full = F.when(path.startswith("/"), path).otherwise(relative)
-    steps = F.slice(F.split(full, "/", -1), 2, F.size(F.split(full, "/", -1)))
-    walked = F.aggregate(steps, F.lit(""), lambda a, s: F.when(s == "..", F.regexp_replace(a, "/[^/]*$", "")).when(s == ".", a).otherwise(F.concat(a, F.lit("/"), s)))
-    return F.when(full.rlike(r"/\.\.?$"), F.concat(walked, F.lit("/"))).otherwise(walked)
+    folder = bind(F.regexp_replace(base_path, "[^/]+$", ""), _or_root)
+    relative = F.regexp_replace(F.concat(folder, path), "(?<=.)/+(?=/)|(?<=^/)/+", "")
+    step = lambda a, s: F.when(s == "..", F.regexp_replace(a, "/[^/]*$", "")).when(s == ".", a).otherwise(F.concat(a, F.lit("/"), s))
+    steps = lambda full: bind(F.split(full, "/", -1), lambda xs: F.slice(xs, F.lit(2), F.size(xs)))
+    walked = lambda full: F.concat(F.aggregate(steps(full), F.lit(""), step), F.when(full.rlike(r"/\.\.?$"), "/").otherwise(""))
+    return bind(F.when(path.startswith("/"), path).otherwise(relative), walked)
 
 
 def resolve(base: str | Column, reference: str | Column) -> Column:
     """The absolute form of a reference found on base."""
-    b, r = column(base), column(reference)
-    scheme, tail = part(r, "scheme"), F.when(part(r, "fragment") == "", "").otherwise(F.concat(F.lit("#"), part(r, "fragment")))
-    at_base = F.concat(part(b, "scheme"), F.lit("://"), part(b, "authority"))
-    query = _asked(part(r, "query"))
-    own = F.concat(F.when(part(r, "path") == "", F.concat(part(b, "path"), F.when(part(r, "query") == "", _asked(part(b, "query"))).otherwise(query))).otherwise(F.concat(_joined(part(b, "path"), part(r, "path")), query)), tail)
-    with_host = F.concat(part(b, "scheme"), F.lit("://"), part(r, "authority"), part(r, "path"), query, tail)
-    return F.when(r == "", b).when(scheme != "", r).when(part(r, "authority") != "", with_host).otherwise(F.concat(at_base, own))
+
+    def found(b: Column, r: Column, path: Column, query: Column) -> Column:
+        tail = bind(part(r, "fragment"), lambda f: F.when(f == "", "").otherwise(F.concat(F.lit("#"), f)))
+        kept = F.concat(part(b, "path"), F.when(query == "", bind(part(b, "query"), _asked)).otherwise(query))
+        inner = F.when(path == "", kept).otherwise(F.concat(bind(part(b, "path"), lambda p: _joined(p, path)), query))
+        local = F.concat(part(b, "scheme"), F.lit("://"), part(b, "authority"), inner, tail)
+        other = F.concat(part(b, "scheme"), F.lit("://"), part(r, "authority"), path, query, tail)
+        return F.when(r == "", b).when(part(r, "scheme") != "", r).when(part(r, "authority") != "", other).otherwise(local)
+
+    parts = lambda b, r: bind(part(r, "path"), lambda p: bind(bind(part(r, "query"), _asked), lambda q: found(b, r, p, q)))
+    return bind(column(base), lambda b: bind(column(reference), lambda r: parts(b, r)))

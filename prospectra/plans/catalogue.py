@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import scalar
+from . import relational, scalar
 
-_PARTS = [scalar]
+_PARTS = [scalar, relational]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

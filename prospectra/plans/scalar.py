@@ -104,11 +104,16 @@ def _profile_sql() -> str:
     return f"{D.part('abs_url', 6)} <> '' AND {D.any_of(path, R.PROFILE_TERMS)} AND len(list_filter({D.tokens('person_name')}, lambda t: contains(regexp_replace({path}, '[^a-z0-9]+', '-', 'g'), t))) > 0"
 
 
-def _emails_sql(x: str) -> str:
+def found_emails(x: str) -> str:
     """RE2 has no look-around: boundaries are taken in, white space doubled so that neighbours don't share one."""
     doubled = f"regexp_replace({x}, '(\\s)', '\\1\\1', 'g')"
-    found = f"list_transform(regexp_extract_all({doubled}, {D.q('(?:^|[^' + X._WORD + '.+-])([' + R.EMAIL_CLASS + ']+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+)(?:$|[^' + X._WORD + '.-])')}, 1), lambda e: lower(e))"
-    return D.joined(f"list_slice({D.unique(f'list_filter({found}, lambda e: split_part(e, {D.q(chr(64))}, 2) NOT IN {D.listed(R.PLACEHOLDER_DOMAINS)})')}, 1, 20)", "; ")
+    pattern = f"(?:^|[^{X._WORD}.+-])([{R.EMAIL_CLASS}]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+)(?:$|[^{X._WORD}.-])"
+    return f"list_transform(regexp_extract_all({doubled}, {D.q(pattern)}, 1), lambda e: lower(e))"
+
+
+def _emails_sql(x: str) -> str:
+    real = f"list_filter({found_emails(x)}, lambda e: split_part(e, '@', 2) NOT IN {D.listed(R.PLACEHOLDER_DOMAINS)})"
+    return D.joined(f"list_slice({D.unique(real)}, 1, 20)", "; ")
 
 
 def _phones_sql(x: str) -> str:
