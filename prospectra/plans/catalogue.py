@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import relational, scalar
+from . import pages, relational, scalar
 
-_PARTS = [scalar, relational]
+_PARTS = [scalar, relational, pages]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
