@@ -22,17 +22,26 @@ from pyspark.sql import DataFrame, functions as F
 
 from .shared import text_or_empty
 
-MARK, CACHE_SEGMENTS, LONGEST_CACHED, BATCH_CHARS = "▁", 300_000, 64, 1 << 18
+MARK, CACHE_SEGMENTS, LONGEST_CACHED, SHORT, BATCH_CHARS = "▁", 1_000_000, 64, 64, 1 << 18
 _SEGMENTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _STRANGE = re.compile("[\x00-\x08\x0b-\x1f\x7f]")
 
 
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+
+
 class _Cache(dict):
-    def __init__(self, encode, before: str):
+    """Segment -> (ids, decimal ids joined by commas). points: marks that no piece holds behind a letter, so a word's ids don't depend on them."""
+
+    def __init__(self, encode, before: str, points: frozenset[str]):
         super().__init__()
-        self.encode, self.before = encode, before
+        self.encode, self.before, self.points = encode, before, points
 
     def __missing__(self, segment: str) -> tuple[list[int], str]:
+        if segment[-1:] in self.points and _LETTERS(segment[:-1]):
+            ids, joined = self[segment[:-1]]
+            tail = self.encode(segment[-1])
+            return [*ids, *tail], ",".join([joined, *map(str, tail)])
         ids = self.encode(self.before + segment)
         found = ids, ",".join(map(str, ids))
         if len(segment) <= LONGEST_CACHED:
@@ -56,12 +65,40 @@ class MergeCodec:
         self.fallback = all(lib.is_byte(i) for i in self.bytes)
         if any(lib.is_unused(i) for i in range(size)) or any("\n" in p or re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             raise ValueError("this vocabulary's merges can cross words or lines")
-        self.spaced, self.bare = _Cache(self.encode_symbols, MARK), _Cache(self.encode_symbols, "")
+        points = frozenset(c for c in ".,;:!?" if not any(re.search(rf"[A-Za-zÀ-ÖØ-öø-ÿ]{re.escape(c)}", p) for p in self.ids))
+        self.spaced, self.bare = (_Cache(self.encode_symbols, before, points) for before in (MARK, ""))
 
     def encode_symbols(self, text: str) -> list[int]:
         """Ids of a normalised text by the agenda alone."""
-        scores, symbols = self.scores, list(text)
-        n = len(symbols)
+        symbols = list(text)
+        self._merge_short(symbols) if len(symbols) <= SHORT else self._merge_long(symbols)
+        out: list[int] = []
+        for s in symbols:
+            if s:
+                if (i := self.ids.get(s)) is not None:
+                    out.append(i)
+                elif self.fallback:
+                    out += (self.bytes[b] for b in s.encode())
+                else:
+                    out.append(self.unknown)
+        return out
+
+    def _merge_short(self, symbols: list[str]) -> None:
+        """The agenda of a short segment is the list of its pairs' scores: its top is the least, of equals the leftmost."""
+        get, none = self.scores.get, float("inf")
+        agenda = [get(a + b, none) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda and (top := min(agenda)) < none:
+            i = agenda.index(top)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i:
+                agenda[i - 1] = get(symbols[i - 1] + symbols[i], none)
+            if i < len(agenda):
+                agenda[i] = get(symbols[i] + symbols[i + 1], none)
+
+    def _merge_long(self, symbols: list[str]) -> None:
+        """The agenda is a heap of (score, place, length); merged symbols leave an empty string behind."""
+        scores, n = self.scores, len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = [(scores[p], i, 2) for i in range(n - 1) if (p := symbols[i] + symbols[i + 1]) in scores]
         heapify(agenda)
@@ -81,16 +118,6 @@ class MergeCodec:
                     heappush(agenda, (scores[p], left, len(p)))
             if (previous := before[left]) >= 0 and (p := symbols[previous] + merged) in scores:
                 heappush(agenda, (scores[p], previous, len(p)))
-        out: list[int] = []
-        for s in symbols:
-            if s:
-                if (i := self.ids.get(s)) is not None:
-                    out.append(i)
-                elif self.fallback:
-                    out += (self.bytes[b] for b in s.encode())
-                else:
-                    out.append(self.unknown)
-        return out
 
     def encode(self, text: str) -> tuple[list[int], str]:
         """(ids, decimal ids joined by commas) of a whole text."""
