@@ -31,10 +31,10 @@ def op9() -> str:
     span, blank = sentence_spans.SPAN, "chr(32) || chr(9) || chr(13) || chr(10)"
     columns = ", ".join(f"lead(s, {j}) OVER w AS s{j}" for j in range(span))
     keys = ", ".join(f"s{j}" for j in range(span))
-    return f"""WITH l AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '(\\n|[.!?][ \\t])', '\\1' || chr(1), 'g'), chr(1)) AS l FROM documents),
+    return f"""WITH l AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '(\\n|[.!?,;:][ \\t])', '\\1' || chr(1), 'g'), chr(1)) AS l FROM documents),
 p AS (SELECT doc_id, unnest(l) AS piece, unnest(range(1, len(l) + 1)) AS i FROM l),
 f AS (SELECT *, trim(piece, {blank}) AS s, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j FROM p WHERE trim(piece, {blank}) <> ''),
-r AS (SELECT doc_id, j, {columns} FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY j) QUALIFY s{span - 1} IS NOT NULL),
+r AS (SELECT doc_id, j, {columns} FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY j) QUALIFY s{span - 1} IS NOT NULL AND len(string_split({' || chr(32) || '.join(f's{j}' for j in range(span))}, ' ')) >= {sentence_spans.WORDS}),
 later AS (SELECT doc_id, j FROM r QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY doc_id, j) > 1),
 gone AS (SELECT DISTINCT f.doc_id, f.i FROM later JOIN f ON f.doc_id = later.doc_id AND f.j BETWEEN later.j AND later.j + {span - 1}),
 kept AS (SELECT p.doc_id, string_agg(p.piece, '' ORDER BY p.i) FILTER (WHERE g.i IS NULL) AS text, count(g.i) AS n_removed FROM p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.i = p.i GROUP BY p.doc_id)

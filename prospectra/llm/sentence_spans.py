@@ -1,8 +1,10 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut behind sentence marks and line ends; every run of ``span`` consecutive sentences (blank pieces don't count) is hashed,
-runs are joined over all documents, and sentences that any non-first occurrence of a repeated run covers are removed. The first
-occurrence is the one with the smallest id (then text hash, then place), and removal looks at the texts as they came.
+A text is cut behind sentence marks, clause marks and line ends: passages are often quoted from the middle of a sentence, and clauses keep all but
+their ragged ends. Every run of ``span`` consecutive pieces (blank ones don't count) with ``words`` words or more is hashed, runs
+are joined over all documents, and pieces that any non-first occurrence of a repeated run covers are removed. Shorter runs, such as
+a common greeting, are left alone. The first occurrence is the one with the smallest id (then text hash, then place), and
+removal looks at the texts as they came.
 
 Rows: null texts count as empty and stay null; rows repeated whole are one document and get the same result; texts with fewer sentences than a
 run are left alone; a text all of whose sentences repeat becomes empty; other columns pass through, and columns named as results are
@@ -13,10 +15,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import text_or_empty
+from .shared import materialised, text_or_empty
 
-SPAN = 3
-_CUTS = "(?<=\\n)|(?<=[.!?][ \\t])"
+SPAN, WORDS = 3, 12
+_CUTS = "(?<=\\n)|(?<=[.!?,;:][ \\t])"
+#: Text keys that are sent to every executor at most (8 bytes each); more are joined by shuffle.
+BROADCAST_KEYS = 1_000_000
 RESULTS = ["n_sentences", "n_removed"]
 
 
@@ -25,24 +29,33 @@ def _filled(pieces: Column) -> Column:
     return F.filter(F.transform(pieces, lambda s, i: F.struct(i.alias("i"), F.btrim(s, F.lit(" \t\r\n")).alias("s"))), lambda x: x["s"] != "")
 
 
-def _runs(filled: Column, span: int) -> Column:
-    """Run number j covers sentences j to j + span - 1; two hashes are its key."""
+def _runs(span: int, words: int) -> Column:
+    """Run number j covers pieces j to j + span - 1 of _s; two hashes are its key. Null where it has too few words."""
     columns = [F.slice(F.col("_s"), k + 1, F.greatest(F.size("_s") - (span - 1), F.lit(0))).alias(f"s{k}") for k in range(span)]
-    return F.transform(F.arrays_zip(*columns), lambda r, j: F.struct(F.xxhash64(r).alias("h"), F.hash(r).alias("g"), j.alias("j")))
+    text = lambda r: F.concat_ws(" ", *(r[f"s{k}"] for k in range(span)))
+    long = lambda t: F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) >= words - 1
+    key = lambda r, j: F.struct(F.xxhash64(r).alias("h"), F.hash(r).alias("g"), j.alias("j"))
+    return F.filter(F.transform(F.arrays_zip(*columns), lambda r, j: F.when(long(text(r)), key(r, j))), lambda x: x.isNotNull())
 
 
-def remove_repeated_spans(docs: DataFrame, span: int = SPAN, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with a shorter text where others said it first, n_sentences and n_removed."""
+def remove_repeated_spans(docs: DataFrame, span: int = SPAN, words: int = WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with a shorter text where others said it first, n_sentences and n_removed (both count pieces)."""
     own = docs.drop(*RESULTS).withColumn("_text", text_or_empty(text)).withColumn("_key", F.xxhash64("_text"))
     cut = own.select(F.col(id).alias("_id"), "_key", _filled(F.split("_text", _CUTS, -1))["s"].alias("_s"))
-    runs = cut.filter(F.size("_s") >= span).select("_id", "_key", F.inline(_runs(F.col("_s"), span)))
+    runs = cut.filter(F.size("_s") >= span).select("_id", "_key", F.inline(_runs(span, words)))
     place = F.struct("_id", "_key", "j")
     repeated = runs.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
     later = runs.join(repeated, ["h", "g"]).filter(place != F.col("first"))
-    covered = later.groupBy("_id", "_key").agg(F.collect_set("j").alias("_starts"))
-    joined = own.join(covered, own[id].eqNullSafe(covered["_id"]) & (own["_key"] == covered["_key"]), "left").drop(covered["_key"]).drop("_id")
+    covered = materialised(later.groupBy("_id", "_key").agg(F.collect_set("j").alias("_starts")), "covered")
+    # only documents that lose something travel; the others are told by their keys
+    keys = covered.select("_key").distinct()
+    few = keys.count() <= BROADCAST_KEYS
+    keyed = own.join((F.broadcast(keys) if few else keys).withColumn("_hit", F.lit(True)), "_key", "left")
+    touched = keyed.filter("_hit")
+    joined = touched.join(covered.withColumnRenamed("_key", "_other"), touched[id].eqNullSafe(F.col("_id")) & (touched["_key"] == F.col("_other")), "left").drop("_other", "_id")
+    both = joined.unionByName(keyed.filter("_hit IS NULL").withColumn("_starts", F.lit(None).cast("array<int>")))
     pieces = F.split("_text", _CUTS, -1)
-    counted = joined.withColumn("_at", _filled(pieces)["i"])
+    counted = both.withColumn("_at", _filled(pieces)["i"])
     gone = F.array_distinct(F.flatten(F.transform("_starts", lambda j: F.slice(F.col("_at"), j + 1, F.lit(span)))))
     marked = counted.withColumn("_gone", F.when(F.col("_starts").isNotNull(), gone)).withColumn("n_sentences", F.size("_at").cast("long")).withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
     kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.filter(pieces, lambda s, i: ~F.array_contains("_gone", i)), ""))

@@ -61,10 +61,10 @@ def test_bands():
         assert (1 - t**rows) ** bands <= 1e-8 and bands <= 48
 
 
-CUT = re.compile(r"(?<=\n)|(?<=[.!?][ \t])")
+CUT = re.compile(r"(?<=\n)|(?<=[.!?,;:][ \t])")
 
 
-def brute_spans(docs, span=3):
+def brute_spans(docs, span=3, words=12):
     """{(id, text): new text} for distinct rows."""
     cut, first, runs = {}, {}, []
     for key in sorted(set(docs), key=lambda r: (r[0] is not None, r[0])):
@@ -73,6 +73,8 @@ def brute_spans(docs, span=3):
         cut[key] = (pieces, filled)
         for j in range(len(filled) - span + 1):
             run = tuple(s for _, s in filled[j : j + span])
+            if len(" ".join(run).split(" ")) < words:
+                continue
             if run in first:
                 runs.append((key, j))
             else:
@@ -85,8 +87,8 @@ def brute_spans(docs, span=3):
 
 def test_repeated_spans(spark):
     rng = random.Random(9)
-    sentence = lambda: " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 4))) + rng.choice([". ", "! ", "?\n", "\n", " . "])
-    passage = "This passage stands here. It has many words! Does it repeat? It does so here. "
+    sentence = lambda: " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 8))) + rng.choice([". ", "! ", "?\n", "\n", " . "])
+    passage = "This whole passage stands here as it is, in many other places too. It has many words in every one of its clauses! Does it repeat itself now and then? It does so here and there, over and over and over again. "
     docs = [(i, "".join(sentence() for _ in range(rng.randrange(12)))) for i in range(80)]
     docs += [(100 + i, f"own {i} start. " + passage + f"own {i} end.") for i in range(10)] + [(200, None), (201, ""), (202, "\n\n"), (203, "a. a. a. a. a. a.")]
     df = spark.createDataFrame(docs + docs[:4], "doc_id long, text string").selectExpr("*", "'x' AS n_removed", "'y' AS j").repartition(5)
