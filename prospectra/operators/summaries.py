@@ -27,7 +27,8 @@ def with_zeros(counts: DataFrame, metric: str, domain: list[str]) -> DataFrame:
 def run_summary(master: DataFrame, n_leads: DataFrame, n_enriched: DataFrame, joined: DataFrame) -> DataFrame:
     """Inputs, results and removals, then counts of five columns."""
     total = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("metric"), F.col("n").cast("string").alias("value"), F.lit("").alias("detail"))
-    removed = joined.agg(F.count("*").alias("n")).join(master.agg(F.count("*").alias("m"))).select(F.lit("duplicates_removed").alias("metric"), (F.col("n") - F.col("m")).cast("string").alias("value"), F.lit("").alias("detail"))
+    both = joined.agg(F.count("*").alias("n")).unionAll(master.agg((-F.count("*")).alias("n")))
+    removed = both.agg(F.sum("n").cast("string").alias("value")).select(F.lit("duplicates_removed").alias("metric"), "value", F.lit("").alias("detail"))
     by = counts_by(master, company=F.col("company_name"), leadership_type=F.col("leadership_type"), lead_priority=F.col("lead_priority"), verification_status=F.col("verification_status"), enrichment_status=F.when(F.col("enrichment_status") == "", "NOT_PROCESSED").otherwise(F.col("enrichment_status")))
     return total(n_leads, "phase5_input_records").unionByName(total(n_enriched, "phase51_input_records")).unionByName(total(master, "final_records")).unionByName(removed).unionByName(by)
 

@@ -107,8 +107,9 @@ def lead_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leads against the text of their own source page."""
     from ..operators.leads import enrich
 
-    text = O.page_texts(dom.dom_nodes(_people_pages(spark, sf_dir).limit(1)), most=None).select("page_text")
-    pages = spark.createDataFrame([("https://www.aldora.example/leadership", "https://www.aldora.example/leadership/", 200, "text/html", None)], "source_url string, final_url string, status int, content_type string, error string").join(F.broadcast(text))
+    page = spark.createDataFrame([(1, PEOPLE_HTML)], "page_id long, html string")
+    fixed = {"source_url": "https://www.aldora.example/leadership", "final_url": "https://www.aldora.example/leadership/", "status": 200, "content_type": "text/html"}
+    pages = O.page_texts(dom.dom_nodes(page), most=None).select(*(F.lit(v).alias(k) for k, v in fixed.items()), F.lit(None).cast("string").alias("error"), "page_text")
     links = spark.createDataFrame([], "lead long, url string")
     leads = fixtures.load(spark, sf_dir, "leads").withColumn("validation_status", F.when(F.col("seq") % 2 == 0, "VALID").otherwise(""))
     return enrich(leads, pages, links).select("seq", "verification_status", "enrichment_status", "enrichment_confidence", "source_fetch_status", "public_bio_excerpt", "enrichment_method", "verification_source")
