@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .byte_bpe import byte_bpe
 from .shared import materialised, shared_dir, text_or_empty
