@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import text as T
 from ..operators import discovery, pages as O, people
 from ..sources import crawl, dom
 from . import fixtures
