@@ -1,0 +1,115 @@
+"""Word windows that find every repeated passage of more than 50 words, wherever its sentences end.
+
+Of all windows of ``WINDOW`` words those are taken whose hash is the least of ``CHOICE`` neighbours (winnowing): two texts that share
+``LONG`` = WINDOW + CHOICE - 1 words in a row take a window at the same place. A taken window that repeats is a candidate only; the
+windows of ``LONG`` words around it tell, and as each of these holds a taken window, none is missed. A word stands between white space; each letter of a script without spaces is one.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+
+WINDOW, CHOICE = 32, 20
+LONG = WINDOW + CHOICE - 1
+_BATCH = 1 << 20
+#: White space as str.split has it, and the scripts that are written without spaces: Thai to Tibetan, Burmese, Khmer, kana, Han.
+_SPACES = np.array([*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
+_DENSE = [(0x0E00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3041, 0x3100), (0x3400, 0xA000), (0xF900, 0xFB00), (0x20000, 0x40000)]
+_U = np.uint64
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_POWERS: dict[tuple[int, bool], np.ndarray] = {}
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
+
+def _powers(base: int, n: int, inverse: bool = False) -> np.ndarray:
+    have = _POWERS.get((base, inverse))
+    if have is None or len(have) < n:
+        step = _U(pow(base, -1, 1 << 64) if inverse else base)
+        have = np.full(max(n, _BATCH), step, _U)
+        have[0] = 1
+        have = _POWERS[base, inverse] = np.multiply.accumulate(have)
+    return have[:n]
+
+
+def _ranges(x: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: int) -> np.ndarray:
+    """Hashes of x[start:stop], the same wherever a range lies."""
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(x * _powers(base, len(x)))])
+    return _mixed((sums[stops] - sums[starts]) * _powers(base, len(x), True)[starts])
+
+
+def _slid(x: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
+    """pick over x[i:i + width] for every i that has so many."""
+    have, done = x, 1
+    while done < width:
+        step = min(done, width - done)
+        have, done = pick(have[:-step], have[step:]), done + step
+    return have
+
+
+def _taken(texts: list[str], around: bool) -> list[np.ndarray]:
+    """For every window taken: the text's number, two hashes, and its first and last place + 1 in code points; if around, then the same
+    (without the number) for every window of LONG words that holds it.
+    """
+    none = [np.zeros(0, np.int64) for _ in range(9 if around else 5)]
+    chars = np.frombuffer("\n".join(texts).encode("utf-32-le"), np.uint32)
+    begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    low = chars < 0x250  # Latin letters need no further look
+    space = np.isin(chars, _SPACES) if not low.all() else np.isin(chars, _SPACES[_SPACES < 0x250])
+    dense = np.zeros(len(chars), bool)
+    if not low.all():
+        for a, b in _DENSE:
+            dense |= (chars >= a) & (chars < b)
+    edge = np.concatenate([[True], space[:-1] | dense[:-1]])
+    starts = np.flatnonzero(~space & (edge | dense))
+    if len(starts) < LONG:
+        return none
+    ends = np.flatnonzero(~space & np.concatenate([(space | dense)[1:] | dense[:-1], [True]])) + 1
+    words = _ranges(_mixed(chars.astype(_U) + _U(1)), starts, ends, _BASES[0])
+    at = np.arange(len(words) - WINDOW + 1)
+    hashes = _ranges(words, at, at + WINDOW, _BASES[0])
+    owner = np.searchsorted(begins, starts, "right") - 1
+    least = _slid(hashes, CHOICE, np.minimum)
+    whole = owner[: len(least)] == owner[LONG - 1 :]  # neighbours within one text
+    pad = np.zeros(CHOICE - 1, _U)
+    best = _slid(np.concatenate([pad, np.where(whole, least, _U(0)), pad]), CHOICE, np.maximum)
+    take = np.flatnonzero((best == hashes) & (owner[: len(at)] == owner[WINDOW - 1 :]))
+    rows = lambda at, n: [_ranges(words, at, at + n, _BASES[0]).view(np.int64), _ranges(words, at, at + n, _BASES[1]).view(np.int64), starts[at] - begins[owner[at]], ends[at + n - 1] - begins[owner[at]]]
+    if not around:
+        return [owner[take], *rows(take, WINDOW)]
+    held, first = np.repeat(take, CHOICE), (take[:, None] - np.arange(CHOICE)).ravel()
+    inside = (first >= 0) & (first + LONG <= len(words))
+    held, first = held[inside], first[inside]
+    inside = owner[first] == owner[first + LONG - 1]
+    held, first = held[inside], first[inside]
+    return [owner[held], *rows(held, WINDOW), *rows(first, LONG)]
+
+
+NAMES = ["h", "g", "j", "stop"]
+
+
+def windows(batches: Iterator[pa.RecordBatch], around: bool = False) -> Iterator[pa.RecordBatch]:
+    """(_id, _key, _text) to (_id, _key, h, g, j, stop) and, if around, (long_h, long_g, long_j, long_stop)."""
+    for batch in batches:
+        texts, n, chars = batch.column("_text").to_pylist(), 0, 0
+        for end, text in enumerate(texts, 1):
+            chars += len(text) + 1
+            if chars < _BATCH and end < len(texts):
+                continue
+            of, *found = _taken(texts[n:end], around)
+            rows = pa.array(of + n, pa.int64())
+            names = NAMES + ([f"long_{c}" for c in NAMES] if around else [])
+            arrays = [pa.array(x.astype(np.int32 if c.endswith(("j", "stop")) else np.int64)) for c, x in zip(names, found, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("_id").take(rows), batch.column("_key").take(rows), *arrays], ["_id", "_key", *names])
+            n, chars = end, 0
+
+
+def windows_around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return windows(batches, True)

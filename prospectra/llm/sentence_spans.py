@@ -3,18 +3,25 @@
 A text is cut behind sentence marks, clause marks and line ends: passages are often quoted from the middle of a sentence, and clauses keep all but
 their ragged ends. Every run of ``span`` consecutive pieces (blank ones don't count) with ``words`` words or more is hashed, runs
 are joined over all documents, and pieces that any non-first occurrence of a repeated run covers are removed. Shorter runs, such as
-a common greeting, are left alone. The first occurrence is the one with the smallest id (then text hash, then place), and
+a common greeting, are left alone. Where no such run was cut, passages of
+more than 50 words that an earlier document holds (lists of short pieces, long sentences with ragged ends, scripts without spaces) are found
+by word windows (``passages``) and go as well. The first occurrence is the one with the smallest id (then text hash, then place), and
 removal looks at the texts as they came.
 
-Rows: null texts count as empty and stay null; rows repeated whole are one document and get the same result; texts with fewer sentences than a
-run are left alone; a text all of whose sentences repeat becomes empty; other columns pass through, and columns named as results are
+Rows: null texts count as empty and stay null; rows repeated whole are one document and get the same result; texts of neither three pieces nor
+51 words are left alone; a text all of whose sentences repeat becomes empty; other columns pass through, and columns named as results are
 replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import passages
 from .shared import materialised, text_or_empty
 
 SPAN, WORDS = 3, 12
@@ -38,25 +45,70 @@ def _runs(span: int, words: int) -> Column:
     return F.filter(F.transform(F.arrays_zip(*columns), lambda r, j: F.when(long(text(r)), key(r, j))), lambda x: x.isNotNull())
 
 
+def _cut_out(text: str | None, starts: list | None, windows: list | None, span: int) -> tuple[str | None, int, list]:
+    """The text without the pieces of its repeated runs and the windows that no such piece meets; how many pieces lost words; these windows."""
+    pieces = re.split(_CUTS, text or "")
+    filled = [i for i, p in enumerate(pieces) if p.strip(" \t\r\n")]
+    gone = {i for j in starts or [] for i in filled[j : j + span]}
+    ends = list(accumulate(map(len, pieces)))
+    cuts, hit, free = [(ends[i] - len(pieces[i]), ends[i]) for i in gone], set(gone), []
+    for w in windows or []:
+        met = range(bisect_right(ends, w["j"]), bisect_left(ends, w["stop"]) + 1)
+        if gone.isdisjoint(met):
+            hit.update(met)
+            cuts.append((w["j"], w["stop"]))
+            free.append(w)
+    if not cuts:
+        return text, 0, free
+    kept, at = [], 0
+    for a, b in sorted(cuts):
+        kept.append(text[at : max(a, at)])
+        at = max(at, b)
+    return "".join(kept) + text[at:], len(hit.intersection(filled)), free
+
+
+def _later(rows: DataFrame, place: Column, other: Column, first: Column) -> DataFrame:
+    """Rows of keys (h, g) that aren't the first of their key, as far as other tells them from it."""
+    repeated = rows.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
+    return rows.join(repeated, ["h", "g"]).filter(other != first)
+
+
+def _beside(docs: DataFrame, more: DataFrame, how: str) -> DataFrame:
+    """docs with more's columns, by id (which may be null) and text key."""
+    more = more.withColumnsRenamed({"_id": "_other_id", "_key": "_other_key"})
+    return docs.join(more, F.col("_id").eqNullSafe(F.col("_other_id")) & (F.col("_key") == F.col("_other_key")), how).drop("_other_id", "_other_key")
+
+
 def remove_repeated_spans(docs: DataFrame, span: int = SPAN, words: int = WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with a shorter text where others said it first, n_sentences and n_removed (both count pieces)."""
     own = docs.drop(*RESULTS).withColumn("_text", text_or_empty(text)).withColumn("_key", F.xxhash64("_text"))
     cut = own.select(F.col(id).alias("_id"), "_key", _filled(F.split("_text", _CUTS, -1))["s"].alias("_s"))
     runs = cut.filter(F.size("_s") >= span).select("_id", "_key", F.inline(_runs(span, words)))
-    place = F.struct("_id", "_key", "j")
-    repeated = runs.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
-    later = runs.join(repeated, ["h", "g"]).filter(place != F.col("first"))
-    covered = materialised(later.groupBy("_id", "_key").agg(F.collect_set("j").alias("_starts")), "covered")
+    place, doc, first_doc = F.struct("_id", "_key", "j"), F.struct("_id", "_key"), F.struct("first._id", "first._key")
+    covered = materialised(_later(runs, place, place, F.col("first")).groupBy("_id", "_key").agg(F.collect_set("j").alias("_starts")), "covered")
+
+    of_text = own.filter(F.length("_text") >= passages.LONG).select(F.col(id).alias("_id"), "_key", "_text")
+    head = f"_id {docs.schema[id].dataType.simpleString()}, _key long, h long, g long, j int, stop int"
+    taken = _later(of_text.mapInArrow(passages.windows, head), doc, doc, first_doc)
+    perhaps = taken.groupBy("_id", "_key").agg(F.collect_set(F.struct("h", "g", "j", "stop")).alias("_windows"))
+    free = F.udf(lambda t, s, w: _cut_out(t, s, w, span)[2], "array<struct<h:bigint,g:bigint,j:int,stop:int>>", useArrow=True)
+    at = _beside(_beside(perhaps, of_text.distinct(), "inner"), covered, "left")
+    candidates = materialised(at.select(F.explode(free("_text", "_starts", "_windows")).alias("w")).select("w.h", "w.g").distinct(), "candidates")
+    around = of_text.mapInArrow(passages.windows_around, head + ", long_h long, long_g long, long_j int, long_stop int")
+    held = around.join(F.broadcast(candidates) if candidates.count() <= BROADCAST_KEYS else candidates, ["h", "g"], "left_semi")
+    long = held.select("_id", "_key", F.col("long_h").alias("h"), F.col("long_g").alias("g"), F.col("long_j").alias("j"), F.col("long_stop").alias("stop"))
+    passed = _later(long, doc, doc, first_doc).groupBy("_id", "_key").agg(F.collect_set(F.struct("j", "stop")).alias("_windows"))
+
+    both = covered.withColumn("_windows", F.lit(None).cast(passed.schema["_windows"].dataType)).unionByName(passed.withColumn("_starts", F.lit(None).cast("array<int>")))
+    lost = materialised(both.groupBy("_id", "_key").agg(F.first("_starts", True).alias("_starts"), F.first("_windows", True).alias("_windows")), "lost")
     # only documents that lose something travel; the others are told by their keys
-    keys = covered.select("_key").distinct()
+    keys = lost.select("_key").distinct()
     few = keys.count() <= BROADCAST_KEYS
     keyed = own.join((F.broadcast(keys) if few else keys).withColumn("_hit", F.lit(True)), "_key", "left")
     touched = keyed.filter("_hit")
-    joined = touched.join(covered.withColumnRenamed("_key", "_other"), touched[id].eqNullSafe(F.col("_id")) & (touched["_key"] == F.col("_other")), "left").drop("_other", "_id")
-    both = joined.unionByName(keyed.filter("_hit IS NULL").withColumn("_starts", F.lit(None).cast("array<int>")))
-    pieces = F.split("_text", _CUTS, -1)
-    counted = both.withColumn("_at", _filled(pieces)["i"])
-    gone = F.array_distinct(F.flatten(F.transform("_starts", lambda j: F.slice(F.col("_at"), j + 1, F.lit(span)))))
-    marked = counted.withColumn("_gone", F.when(F.col("_starts").isNotNull(), gone)).withColumn("n_sentences", F.size("_at").cast("long")).withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-    kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.filter(pieces, lambda s, i: ~F.array_contains("_gone", i)), ""))
-    return marked.withColumn(text, kept).select(*(c for c in docs.columns if c not in RESULTS), *RESULTS)
+    joined = _beside(touched.withColumn("_id", F.col(id)), lost, "left")
+    without = F.udf(lambda t, s, w: _cut_out(t, s, w, span)[:2], "struct<text:string,n:bigint>", useArrow=True)
+    changed = joined.withColumn("_new", without(F.col(text), F.col("_starts"), F.col("_windows"))).drop("_id", "_starts", "_windows")
+    result = changed.unionByName(keyed.filter("_hit IS NULL").withColumn("_new", F.struct(F.col(text).alias("text"), F.lit(0).cast("long").alias("n"))))
+    counted = result.withColumn("n_sentences", F.size(_filled(F.split("_text", _CUTS, -1))).cast("long"))
+    return counted.withColumn("n_removed", F.col("_new.n")).withColumn(text, F.col("_new.text")).select(*(c for c in docs.columns if c not in RESULTS), *RESULTS)

@@ -156,3 +156,20 @@ def test_pipeline(spark):
     for d, pieces in got.items():
         assert sorted(pieces) == [(s, n, brute.crc(want[d][s : s + n])) for s, n, _ in sorted(pieces)]
         assert sum(n for _, n, _ in pieces) == len(want[d])
+
+
+def test_passages_without_runs(spark):
+    """Repeated passages of over 50 words whose pieces are short or of a script without spaces."""
+    rng = random.Random(4)
+    shout = "".join(f"SHOUT{i}!! " for i in range(70))
+    han = "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(90))
+    own = lambda i: " ".join(f"own{i}x{k}" for k in range(8))
+    docs = [(n * 10 + i, f"{own(n * 10 + i)} {p} {own(n * 10 + i)} end") for n, p in enumerate([shout, han]) for i in range(3)]
+    docs += [(100, " ".join(f"alone{i}" for i in range(90))), (101, own(1) + " " + "".join(f"SHOUT{i}!! " for i in range(40)))]
+    got = {r.doc_id: (r.text, r.n_removed) for r in sentence_spans.remove_repeated_spans(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    for d, t in docs:
+        if d >= 100 or d % 10 == 0:
+            assert got[d] == (t, 0)
+        else:
+            assert own(d) in got[d][0] and got[d][0].endswith(f"{own(d)} end") and got[d][1] > 0
+            assert not re.search("SHOUT|[一-鿿]", got[d][0])
