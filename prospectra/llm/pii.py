@@ -4,7 +4,7 @@
 documents how strongly a term reveals that a kind of personal data is present: with IC(e) = -log2 p(e) and
 PMI(t; e) = log2 p(e | t) / p(e), a term discloses the share PMI / IC of what there is to know. Terms
 at ``generalise_at`` or above become a class mark, at ``remove_at`` or above they go, in documents that hold that kind. A term must
-stand beside ``least_values`` different values of the kind, so copies of one text are no evidence.
+stand beside ``least_values`` different values of the kind (all of a document's count), so copies of one text are no evidence.
 Everything is DataFrame and SQL expressions.
 
 Rows: a null text counts as empty; repeated rows and ids get results of their own; other columns pass through (result columns of the same
@@ -108,8 +108,8 @@ def disclosing_terms(found: DataFrame, generalise_at: float, remove_at: float, l
     totals = found.agg(F.count("*").alias("n"), *(F.sum(c.cast("long")).alias(f"e_{k}") for k, c in has.items())).select("n", F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"e_{k}").alias("n_e")) for k in KINDS)))).filter("n_e > 0")
     share = F.log2(F.col("n_te") * F.col("n") / (F.col("n_t") * F.col("n_e"))) / F.greatest(-F.log2(F.col("n_e") / F.col("n")), F.lit(1e-9))
     strong = joint.join(F.broadcast(totals), "kind").withColumn("share", share).filter(F.col("share") >= generalise_at)  # totals: a row per kind
-    first = lambda k: F.get(F.filter("base_spans", lambda s: s["kind"] == k), F.lit(0))["value"]
-    values = found.filter(" OR ".join(f"n_{k} > 0" for k in KINDS)).select(F.explode(F.transform(_terms(found), lambda w: F.xxhash64(w))).alias("term_hash"), F.array(*(F.when(has[k], F.struct(F.lit(k).alias("kind"), F.xxhash64(first(k)).alias("value"))) for k in KINDS)).alias("vs")).select("term_hash", F.inline(F.filter("vs", lambda v: v.isNotNull()))).distinct().groupBy("term_hash", "kind").agg(F.count("*").alias("n_values")).filter(F.col("n_values") >= least_values)
+    stood = F.array_distinct(F.transform("base_spans", lambda s: F.struct(s["kind"].alias("kind"), F.xxhash64(s["value"]).alias("value"))))
+    values = found.filter(" OR ".join(f"n_{k} > 0" for k in KINDS)).select(F.explode(F.transform(_terms(found), lambda w: F.xxhash64(w))).alias("term_hash"), stood.alias("vs")).select("term_hash", F.inline("vs")).distinct().groupBy("term_hash", "kind").agg(F.count("*").alias("n_values")).filter(F.col("n_values") >= least_values)
     return strong.join(values, ["term_hash", "kind"]).select("term_hash", "kind", (F.col("share") >= remove_at).alias("removed"))
 
 

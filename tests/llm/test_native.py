@@ -48,6 +48,14 @@ def test_disclosing_terms(spark):
     assert out[3].clean_text == rows[3][1]
 
 
+def test_terms_beside_later_values(spark):
+    """Pages that all begin with one address and then name their own: every value of a page counts, not only the first."""
+    rows = [(i, f"plain words stand here number{chr(97 + i % 7)}") for i in range(400)]
+    rows += [(1000 + i, f"office@mail.example lists Secretword u{i}@mail.example soon") for i in range(30)]
+    out = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string"), least_values=20).collect()}
+    assert out[1000].n_term == 3 and "ecretword" not in out[1000].clean_text and out[3].clean_text == rows[3][1]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert pii.sanitise(none).count() == 0
