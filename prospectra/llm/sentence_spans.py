@@ -79,6 +79,12 @@ def _beside(docs: DataFrame, more: DataFrame, how: str) -> DataFrame:
     return docs.join(more, F.col("_id").eqNullSafe(F.col("_other_id")) & (F.col("_key") == F.col("_other_key")), how).drop("_other_id", "_other_key")
 
 
+def _of_keys(docs: DataFrame, few: DataFrame) -> DataFrame:
+    """The documents whose text key is among few's: the others don't travel."""
+    keys = few.select("_key").distinct()
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, "_key", "left_semi")
+
+
 def remove_repeated_spans(docs: DataFrame, span: int = SPAN, words: int = WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with a shorter text where others said it first, n_sentences and n_removed (both count pieces)."""
     own = docs.drop(*RESULTS).withColumn("_text", text_or_empty(text)).withColumn("_key", F.xxhash64("_text"))
@@ -90,12 +96,14 @@ def remove_repeated_spans(docs: DataFrame, span: int = SPAN, words: int = WORDS,
     of_text = own.filter(F.length("_text") >= passages.LONG).select(F.col(id).alias("_id"), "_key", "_text")
     head = f"_id {docs.schema[id].dataType.simpleString()}, _key long, h long, g long, j int, stop int"
     taken = _later(of_text.mapInArrow(passages.windows, head), doc, doc, first_doc)
-    perhaps = taken.groupBy("_id", "_key").agg(F.collect_set(F.struct("h", "g", "j", "stop")).alias("_windows"))
+    perhaps = materialised(taken.groupBy("_id", "_key").agg(F.collect_set(F.struct("h", "g", "j", "stop")).alias("_windows")), "perhaps")
     free = F.udf(lambda t, s, w: _cut_out(t, s, w, span)[2], "array<struct<h:bigint,g:bigint,j:int,stop:int>>", useArrow=True)
-    at = _beside(_beside(perhaps, of_text.distinct(), "inner"), covered, "left")
+    at = _beside(_beside(perhaps, _of_keys(of_text, perhaps), "inner"), covered, "left")
     candidates = materialised(at.select(F.explode(free("_text", "_starts", "_windows")).alias("w")).select("w.h", "w.g").distinct(), "candidates")
-    around = of_text.mapInArrow(passages.windows_around, head + ", long_h long, long_g long, long_j int, long_stop int")
-    held = around.join(F.broadcast(candidates) if candidates.count() <= BROADCAST_KEYS else candidates, ["h", "g"], "left_semi")
+    among = F.broadcast(candidates) if candidates.count() <= BROADCAST_KEYS else candidates
+    holders = materialised(of_text.mapInArrow(passages.windows, head).join(among, ["h", "g"], "left_semi").select("_key").distinct(), "holders")
+    around = _of_keys(of_text, holders).select("_id", "_key", "_text").mapInArrow(passages.windows_around, head + ", long_h long, long_g long, long_j int, long_stop int")
+    held = around.join(among, ["h", "g"], "left_semi")
     long = held.select("_id", "_key", F.col("long_h").alias("h"), F.col("long_g").alias("g"), F.col("long_j").alias("j"), F.col("long_stop").alias("stop"))
     passed = _later(long, doc, doc, first_doc).groupBy("_id", "_key").agg(F.collect_set(F.struct("j", "stop")).alias("_windows"))
 

@@ -173,3 +173,11 @@ def test_passages_without_runs(spark):
         else:
             assert own(d) in got[d][0] and got[d][0].endswith(f"{own(d)} end") and got[d][1] > 0
             assert not re.search("SHOUT|[一-鿿]", got[d][0])
+
+
+def test_long_passages_with_ragged_ends(spark):
+    """A repeated passage of 51 words within one piece goes, one of 50 stays."""
+    flow = [f"flow{i}" for i in range(51)]
+    docs = [(i, f"own{i} {' '.join(flow[: 50 + i % 2])} end{i}") for i in range(1, 6)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in sentence_spans.remove_repeated_spans(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {d: (f"own{d}  end{d}", 1) if d in (3, 5) else (t, 0) for d, t in docs}
