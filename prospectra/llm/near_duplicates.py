@@ -6,14 +6,15 @@ a shingle's share of all coordinates is one contiguous slice of a fixed table. B
 from the threshold so that a pair at the threshold escapes every bucket with a probability of 1e-8 at most.
 
 Documents with equal sets form a class, and only classes are compared. Within a bucket no pairs are listed: every class is verified
-against the bucket's pivot, components are built, and only classes outside their pivot's component still need a partner. In small buckets they meet
-those that the triangle inequality (Jaccard distance is a metric) and the sizes allow; in crowded ones they meet the classes that share
-enough of what sets them apart from the pivot, found by a prefix-filtered join on those differences. Both ways are exact, links are
+against the bucket's pivot, components are built, and only classes outside their pivot's component still need a partner. They meet
+those that the triangle inequality (Jaccard distance is a metric) and the sizes allow and that share
+enough of what sets them apart from the pivot, found by a prefix-filtered join on those differences. This is exact at every bucket size, links are
 confirmed on the full sets, and no link between different texts that share a bucket is lost.
 
 Rows: null and blank texts have empty sets and are linked with nothing; repeated rows and ids each keep a row, and ids are
 compared, not rows, so rows that share an id share the verdict; null ids come after all others; other columns pass through; an empty table
-gives an empty result; long texts are hashed whole, in blocks.
+gives an empty result; long texts are hashed whole, in blocks. Texts of more than about a million different shingles fill all slots of the first
+permutation and meet in one bucket; they are verified against its pivot like all others.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from .shared import materialised, text_or_empty
 SLOT_BITS, SEED, MISS, MOST_BANDS = 20, 20240607, 1e-8, 48
 #: Ids that are sent to every executor at most, as a hash table (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
-#: Buckets of so many classes at most list the pairs that pass the triangle inequality; larger ones join on differences from their pivot.
-CROWD = 16
+#: Parts over which the classes of one component are dealt where they are joined by their label.
+SALTS = 16
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _CACHE_WORDS = 500_000
 
@@ -115,26 +116,26 @@ def _class_id(shingles: np.ndarray) -> int | None:
 
 
 def _fingerprints(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
-    """(id, text_key, text) -> id, text_key, class_id, n_shingles and the band keys."""
+    """(id, doc_key, text_key, text) -> id, doc_key, text_key, class_id, n_shingles and the band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 1024):
                 part = batch.slice(at, 1024)
-                sets = [shingle_set(t.as_py(), k) for t in part.column(2)]
+                sets = [shingle_set(t.as_py(), k) for t in part.column(3)]
                 keys = [band_keys(signature(s, rows * bands), rows, bands) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([_class_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                    ["id", "text_key", "class_id", "n_shingles", "keys"],
+                    [*part.columns[:3], pa.array([_class_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                    ["id", "doc_key", "text_key", "class_id", "n_shingles", "keys"],
                 )
 
-    return docs.mapInArrow(run, "id long, text_key long, class_id long, n_shingles long, keys array<long>")
+    return docs.mapInArrow(run, "id long, doc_key long, text_key long, class_id long, n_shingles long, keys array<long>")
 
 
-def with_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+def with_keys(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
     """A semi or anti join whose small side is broadcast only if it was counted and is within BROADCAST_IDS."""
-    few = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if few else ids, key, how)
+    few = keys.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(keys) if few else keys, key, how)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -189,15 +190,50 @@ def _sharing(differences: DataFrame, threshold: float) -> DataFrame:
     return differences.join(ranked, ["pivot", "class_id"]).select("pivot", "class_id", "n", "label_class_id", "outside", "gone", "come", F.size("ranked").alias("ranked_size"), w.alias("w"), slack.alias("slack"), prefix(w - slack + t).alias("as_outsider"), prefix(w).alias("as_any"))
 
 
+def _more_links(members: DataFrame, checked: DataFrame, found: DataFrame, needed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of classes outside their pivot's component with others of their bucket.
+
+    Buckets of a pivot and one more hold no further pair. Elsewhere, an outsider and a partner must lie within the linked distance of each
+    other by the triangle inequality; a pivot's classes that no outsider of it can reach so are left out before their differences are taken.
+    """
+    threshold, far = percent / 100, 1 - percent / 100
+    distances = checked.select(F.col("a").alias("pivot"), F.col("b").alias("class_id"), "distance")
+    wide = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 2").select("key")
+    around = members.filter("class_id <> pivot").join(wide, "key", "left_semi").select("pivot", "class_id").distinct().join(distances, ["pivot", "class_id"])
+    around = around.join(needed.select("class_id", "n"), "class_id").join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
+    around = around.select("pivot", "class_id", "n", "distance", F.coalesce("label", "class_id").alias("label_class_id")).join(found.withColumnRenamed("node", "pivot"), "pivot", "left")
+    around = around.withColumn("outside", F.col("label_class_id") != F.coalesce("label", "pivot")).drop("label")
+    around = materialised(around, "around")
+    nearest = around.filter("outside").groupBy("pivot").agg(F.min("distance").alias("nearest"))
+    perhaps = around.join(nearest, "pivot").filter(F.col("distance") >= F.col("nearest") - far - 1e-9)
+    sharing = materialised(_sharing(materialised(_differences(perhaps.select(*around.columns), sets), "differences"), threshold), "sharing")
+    x, y = (
+        d.select("*", F.posexplode(prefix).alias("at", "element")).drop("as_outsider", "as_any").alias(name)
+        for d, prefix, name in ((sharing.filter("outside"), "as_outsider", "x"), (sharing, "as_any", "y"))
+    )
+    apart = (F.col("x.label_class_id") != F.col("y.label_class_id")) & (F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n") - 1e-9)
+    needed_common = F.col("x.w") + F.col("y.w") - F.col("x.slack") - 1e-6
+    most = F.least("x.gone", "y.gone") + F.least("x.come", "y.come")
+    left = lambda d: F.col(f"{d}.ranked_size") - F.col(f"{d}.at")
+    same = (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.element") == F.col("y.element"))
+    # if this is the first element in common, no more than what follows can be
+    pairs = x.join(y, same & apart & (most >= needed_common) & (F.least(left("x"), left("y")) >= needed_common))
+    pairs = pairs.select(F.least("x.class_id", "y.class_id").alias("a"), F.greatest("x.class_id", "y.class_id").alias("b")).distinct()
+    return materialised(_links(pairs, sets, percent).filter("linked").select("a", "b"), "more-links")
+
+
 def classes_and_components(docs: DataFrame, k: int, percent: int, id: str, text: str) -> DataFrame:
-    """id, class_id, n_shingles, component_id for every row of docs."""
-    threshold = percent / 100
-    rows, bands = bands_for(threshold)
-    keyed = docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(text_or_empty(text)).alias("text_key"), text_or_empty(text).alias("text"))
+    """id, doc_key (of id and text), class_id, n_shingles, label and component_id for every row of docs. label: a number of the component,
+    null for empty sets, which are linked with nothing.
+    """
+    rows, bands = bands_for(percent / 100)
+    own_text = text_or_empty(text)
+    keyed = docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(F.col(id).cast("long"), own_text).alias("doc_key"), F.xxhash64(own_text).alias("text_key"), own_text.alias("text"))
     prints = materialised(_fingerprints(keyed, k, rows, bands), "fingerprints")
-    classes = prints.filter("n_shingles > 0").groupBy("class_id").agg(F.min("id").alias("first_id"), F.min("text_key").alias("text_key"), F.max("n_shingles").alias("n"))
+    full = prints.filter("n_shingles > 0")
+    classes = full.groupBy("class_id").agg(F.min("id").alias("first_id"), F.min("text_key").alias("text_key"), F.max("n_shingles").alias("n"))
 
-    spread = prints.filter("n_shingles > 0").select("class_id", F.explode("keys").alias("key"))
+    spread = full.select("class_id", F.explode("keys").alias("key"))
     shared = spread.groupBy("key").agg(F.min("class_id").alias("least"), F.max("class_id").alias("last")).filter("least <> last").select("key")
     inside = materialised(spread.join(shared, "key").groupBy("key", "class_id").agg(F.lit(1).alias("one")).drop("one"), "buckets")
     # a bucket's pivot is the class that shares most keys with most others: copies are nearer to what they were copied from than to each other
@@ -206,53 +242,46 @@ def classes_and_components(docs: DataFrame, k: int, percent: int, id: str, text:
     members = materialised(inside.join(pivots, "key").select("key", "pivot", "class_id"), "members")
     stars = members.filter("class_id <> pivot").select(F.col("pivot").alias("a"), F.col("class_id").alias("b")).distinct()
     needed = materialised(members.select("class_id").distinct().join(classes, "class_id").select("class_id", "text_key", "n"), "needed")
-    texts = with_ids(keyed.select("text_key", "text"), needed.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+    texts = with_keys(keyed.select("text_key", "text"), needed.select("text_key"), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     sets = materialised(_sets(texts, k), "sets")
     checked = materialised(_links(stars, sets, percent), "stars")
     found = components(checked.filter("linked"))
-
-    # what lies outside its pivot's component meets the rest of the bucket
-    far = 1 - threshold
-    distances = checked.select(F.col("a").alias("pivot"), F.col("b").alias("class_id"), "distance")
-    label = lambda node: F.coalesce(F.col("label"), F.col(node)).alias(f"label_{node}")
-    placed = members.join(distances, ["pivot", "class_id"], "left").join(needed.select("class_id", "n"), "class_id")
-    placed = placed.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").select("key", "pivot", "class_id", "n", F.coalesce("distance", F.lit(0.0)).alias("distance"), label("class_id"))
-    placed = placed.join(found.withColumnRenamed("node", "pivot"), "pivot", "left").select("key", "pivot", "class_id", "n", "distance", "label_class_id", label("pivot"))
-    placed = materialised(placed.withColumn("outside", F.col("label_class_id") != F.col("label_pivot")), "placed")
-    crowds = placed.groupBy("key").agg(F.count("*").alias("crowd"), F.max("outside").alias("open")).filter("open").drop("open")
-    unsettled = placed.join(crowds, "key")
-    x, y = unsettled.filter(f"outside AND crowd <= {CROWD}").alias("x"), unsettled.filter(f"crowd <= {CROWD}").alias("y")
-    apart = (F.col("x.label_class_id") != F.col("y.label_class_id")) & (F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n") - 1e-9)
-    few = x.join(y, (F.col("x.key") == F.col("y.key")) & apart & (F.abs(F.col("x.distance") - F.col("y.distance")) <= far + 1e-9) & (F.col("y.distance") > 0))
-    around = unsettled.filter((F.col("crowd") > CROWD) & (F.col("distance") > 0)).groupBy("pivot", "class_id").agg(F.max("n").alias("n"), F.max("label_class_id").alias("label_class_id"), F.max("outside").alias("outside"))
-    sharing = materialised(_sharing(materialised(_differences(around, sets), "differences"), threshold), "sharing")
-    x, y = (d.select("*", F.posexplode(prefix).alias("at", "element")).drop("as_outsider", "as_any").alias(name) for d, prefix, name in ((sharing.filter("outside"), "as_outsider", "x"), (sharing, "as_any", "y")))
-    needed_common = F.col("x.w") + F.col("y.w") - F.col("x.slack") - 1e-6
-    most = F.least("x.gone", "y.gone") + F.least("x.come", "y.come")
-    left = lambda d: F.col(f"{d}.ranked_size") - F.col(f"{d}.at")
-    # if this is the first element in common, no more than what follows can be
-    many = x.join(y, (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.element") == F.col("y.element")) & apart & (most >= needed_common) & (F.least(left("x"), left("y")) >= needed_common))
-    pair = [F.least("x.class_id", "y.class_id").alias("a"), F.greatest("x.class_id", "y.class_id").alias("b")]
-    pairs = few.select(*pair).union(many.select(*pair)).distinct()
-    more = materialised(_links(pairs, sets, percent).filter("linked"), "more-links")
+    more = _more_links(members, checked, found, needed, sets, percent)
     if more.limit(1).count():
-        found = components(checked.filter("linked").select("a", "b").union(more.select("a", "b")))
+        found = components(checked.filter("linked").select("a", "b").union(more))
 
-    labelled = classes.join(found.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
-    least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of_class = labelled.join(least, "label").select("class_id", "component_id")
-    linked = prints.filter("n_shingles > 0").select("id", "class_id", "n_shingles").join(of_class, "class_id")
-    empty = prints.filter("n_shingles = 0").select("id", "class_id", "n_shingles", F.col("id").alias("component_id"))
-    return linked.select("id", "class_id", "n_shingles", "component_id").unionByName(empty)
+    # classes without a link stand alone: only the others are joined by label, dealt out over SALTS parts of each
+    linked = found.withColumnRenamed("node", "class_id").join(classes.select("class_id", "first_id"), "class_id")
+    least = linked.groupBy("label").agg(F.min("first_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    of_class = linked.withColumn("salt", F.pmod("class_id", F.lit(SALTS)).cast("int")).join(least, ["label", "salt"]).select("class_id", "label", "component_id")
+    home = classes.select("class_id", "first_id").join(of_class, "class_id", "left")
+    home = home.select("class_id", F.coalesce("label", "class_id").alias("label"), F.when(F.col("label").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
+    placed = full.select("id", "doc_key", "class_id", "n_shingles").join(home, "class_id").select("id", "doc_key", "class_id", "n_shingles", "label", "component_id")
+    empty = prints.filter("n_shingles = 0").select("id", "doc_key", "class_id", "n_shingles", F.lit(None).cast("long").alias("label"), F.col("id").alias("component_id"))
+    return placed.unionByName(empty)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per row of docs: its id, class_id, n_shingles, component_id and kept (it bears its component's smallest id)."""
-    out = classes_and_components(docs, k, percent, id, text)
+    out = classes_and_components(docs, k, percent, id, text).drop("doc_key", "label")
     return out.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))).withColumnRenamed("id", id)
 
 
 def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without those that a smaller id of their component stands for."""
-    gone = materialised(near_duplicates(docs, k, percent, id, text).filter("NOT kept").select(id).distinct(), "near-copies")
-    return with_ids(docs, gone, id, "left_anti")
+    """docs with one row of each component: that of the smallest id (null ids last), then of the least text hash, once if it is repeated.
+
+    An id that stands for several texts loses only those rows whose component has a smaller one. Rows with empty sets all stay.
+    """
+    rows = materialised(classes_and_components(docs, k, percent, id, text).filter("label IS NOT NULL").select("id", "doc_key", "label"), "placed")
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "doc_key")
+    several = rows.groupBy("label").agg(F.count("*").alias("size"), F.min(rank)["doc_key"].alias("best")).filter("size > 1").drop("size")
+    member = rows.join(several, "label")
+    gone = materialised(member.filter("doc_key <> best").select("doc_key").distinct(), "near-copies")
+    again = materialised(member.filter("doc_key = best").groupBy("doc_key").agg(F.count("*").alias("times")).filter("times > 1").select("doc_key"), "repeated-rows")
+    keyed = docs.withColumn("_doc_key", F.xxhash64(F.col(id).cast("long"), text_or_empty(text)))
+    stay = with_keys(keyed, gone.withColumnRenamed("doc_key", "_doc_key"), "_doc_key", "left_anti")
+    if not again.limit(1).count():
+        return stay.select(*docs.columns)
+    again = again.withColumnRenamed("doc_key", "_doc_key")
+    once = with_keys(stay, again, "_doc_key", "left_semi").dropDuplicates(["_doc_key"])
+    return with_keys(stay, again, "_doc_key", "left_anti").unionByName(once).select(*docs.columns)
