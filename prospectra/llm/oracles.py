@@ -28,17 +28,24 @@ SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id
 
 
 def op9() -> str:
-    span, blank = sentence_spans.SPAN, "chr(32) || chr(9) || chr(13) || chr(10)"
-    columns = ", ".join(f"lead(s, {j}) OVER w AS s{j}" for j in range(span))
-    keys = ", ".join(f"s{j}" for j in range(span))
-    return f"""WITH l AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '(\\n|[.!?,;:][ \\t])', '\\1' || chr(1), 'g'), chr(1)) AS l FROM documents),
-p AS (SELECT doc_id, unnest(l) AS piece, unnest(range(1, len(l) + 1)) AS i FROM l),
-f AS (SELECT *, trim(piece, {blank}) AS s, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j FROM p WHERE trim(piece, {blank}) <> ''),
-r AS (SELECT doc_id, j, {columns} FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY j) QUALIFY s{span - 1} IS NOT NULL AND len(string_split({' || chr(32) || '.join(f's{j}' for j in range(span))}, ' ')) >= {sentence_spans.WORDS}),
-later AS (SELECT doc_id, j FROM r QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY doc_id, j) > 1),
-gone AS (SELECT DISTINCT f.doc_id, f.i FROM later JOIN f ON f.doc_id = later.doc_id AND f.j BETWEEN later.j AND later.j + {span - 1}),
-kept AS (SELECT p.doc_id, string_agg(p.piece, '' ORDER BY p.i) FILTER (WHERE g.i IS NULL) AS text, count(g.i) AS n_removed FROM p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.i = p.i GROUP BY p.doc_id)
-SELECT d.doc_id, CASE WHEN k.n_removed = 0 THEN d.text ELSE coalesce(k.text, '') END AS text, coalesce(n.n, 0) AS n_sentences, k.n_removed FROM documents d JOIN kept k USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM f GROUP BY doc_id) n USING (doc_id)"""
+    blank, dense = "chr(32) || chr(9) || chr(13) || chr(10)", "\\x{0E00}-\\x{0FFF}\\x{1000}-\\x{109F}\\x{1780}-\\x{17FF}\\x{3041}-\\x{30FF}\\x{3400}-\\x{9FFF}\\x{F900}-\\x{FAFF}"
+    weight = lambda t: f"(len(string_split({t}, ' ')) + length({t}) - length(regexp_replace({t}, '[{dense}]', '', 'g')))"
+    white = "[ \\t\\r\\n]"
+    token = f"{white}*(?:[{dense}]|[^ \\t\\r\\n{dense}]+){white}*|{white}+"
+    span, words = sentence_spans.SPAN, sentence_spans.WORDS
+    return f"""WITH l AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '(\\n|[.!?][ \\t]|[。！？])', '\\1' || chr(1), 'g'), chr(1)) AS l FROM documents),
+s AS (SELECT doc_id, unnest(l) AS s, unnest(range(1, len(l) + 1)) AS i FROM l),
+k AS (SELECT doc_id, i, unnest(t) AS t, unnest(range(1, len(t) + 1)) AS k FROM (SELECT doc_id, i, CASE WHEN {weight(f"trim(s, {blank})")} > {sentence_spans.LONG} THEN regexp_extract_all(s, '{token}') ELSE [s] END AS t FROM s)),
+m AS (SELECT *, coalesce(sum(CASE WHEN contains('{sentence_spans.CHOSEN}', md5(trim(t, {blank}))[1]) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, i ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS m FROM k),
+p AS (SELECT doc_id, piece, row_number() OVER (PARTITION BY doc_id ORDER BY i, m) AS o FROM (SELECT doc_id, i, m, string_agg(t, '' ORDER BY k) AS piece FROM m GROUP BY doc_id, i, m)),
+f AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY o) AS j, {weight("s")} AS w FROM (SELECT doc_id, o, trim(piece, {blank}) AS s FROM p) WHERE s <> ''),
+c AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY j) AS c FROM f),
+e AS (SELECT a.doc_id, a.j, a.o, min(b.j) AS e, min(b.o) AS until FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.j BETWEEN a.j + {span - 1} AND a.j + {max(span, words) - 1} AND b.c - a.c + a.w >= {words} GROUP BY a.doc_id, a.j, a.o),
+r AS (SELECT e.*, array_to_string(list_slice(x.x, e.j, e.e), chr(1)) AS run FROM e JOIN (SELECT doc_id, list(s ORDER BY j) AS x FROM f GROUP BY doc_id) x USING (doc_id)),
+later AS (SELECT doc_id, o, until FROM r QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, j) > 1),
+gone AS (SELECT DISTINCT p.doc_id, p.o FROM later JOIN p ON p.doc_id = later.doc_id AND p.o BETWEEN later.o AND later.until),
+kept AS (SELECT p.doc_id, string_agg(p.piece, '' ORDER BY p.o) FILTER (WHERE g.o IS NULL) AS text, count(g.o) FILTER (WHERE trim(p.piece, {blank}) <> '') AS n_removed FROM p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.o = p.o GROUP BY p.doc_id)
+SELECT d.doc_id, CASE WHEN k.n_removed = 0 THEN d.text ELSE coalesce(k.text, '') END AS text, k.n_removed FROM documents d JOIN kept k USING (doc_id)"""
 
 
 def op10(keep_at: float = 0.25) -> str:

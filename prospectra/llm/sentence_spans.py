@@ -1,122 +1,188 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut behind sentence marks, clause marks and line ends: passages are often quoted from the middle of a sentence, and clauses keep all but
-their ragged ends. Every run of ``span`` consecutive pieces (blank ones don't count) with ``words`` words or more is hashed, runs
-are joined over all documents, and pieces that any non-first occurrence of a repeated run covers are removed. Shorter runs, such as
-a common greeting, are left alone. Where no such run was cut, passages of
-more than 50 words that an earlier document holds (lists of short pieces, long sentences with ragged ends, scripts without spaces) are found
-by word windows (``passages``) and go as well. The first occurrence is the one with the smallest id (then text hash, then place), and
-removal looks at the texts as they came.
-
-Rows: null texts count as empty and stay null; rows repeated whole are one document and get the same result; texts of neither three pieces nor
-51 words are left alone; a text all of whose sentences repeat becomes empty; other columns pass through, and columns named as results are
-replaced; an empty table gives an empty result.
+A text is cut behind sentence marks and line ends. From every sentence on, the run of the ``span`` next ones is hashed, longer by
+as many more as it takes to hold ``words`` words: three short sentences that many documents share (a greeting) are no passage, but are part of
+the longer run that is one. Runs are joined over all documents, and the sentences that any non-first occurrence of a repeated run
+covers are removed. The first occurrence is the one with the smallest id (then text hash, then place), and removal looks at the texts as they
+came.
+
+A passage may begin and end within a sentence. Where sentences are short, all but their ragged ends are whole sentences; sentences of more than LONG
+words (lists, tables, texts without marks) are cut further, behind words that a fixed share of all words' digests choose, so that
+the same words are cut the same way wherever they stand. A word stands between spaces; in scripts without spaces each letter is one.
+
+Rows: null texts count as empty and stay null; rows repeated whole are one document and get the same result; texts that hold no run
+are left alone; a text all of whose sentences repeat becomes empty; other columns pass through, and a column named n_removed is
+replaced; null ids come first; an empty table gives an empty result; a text of any length is cut whole, batches are bounded by characters.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
-from itertools import accumulate
+from collections.abc import Iterator
+from hashlib import md5
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
-from . import passages
 from .shared import materialised, text_or_empty
 
-SPAN, WORDS = 3, 12
-_CUTS = "(?<=\\n)|(?<=[.!?,;:][ \\t])"
+SPAN, WORDS, LONG = 3, 12, 16
+#: A word whose MD5 digest begins with one of these hexadecimal digits ends a piece of a long sentence.
+CHOSEN = "012"
+MARKS = ".!?"
+#: Scripts that are written without spaces (Thai to Tibetan, Burmese, Khmer, kana, Han) as a regular expression's class, and their sentence marks.
+DENSE, DENSE_MARKS = "฀-࿿က-႟ក-៿ぁ-ヿ㐀-鿿豈-﫿", "。！？"
 #: Text keys that are sent to every executor at most (8 bytes each); more are joined by shuffle.
 BROADCAST_KEYS = 1_000_000
-RESULTS = ["n_sentences", "n_removed"]
-
-
-def _filled(pieces: Column) -> Column:
-    """Pieces that aren't blank, as (place, sentence)."""
-    return F.filter(F.transform(pieces, lambda s, i: F.struct(i.alias("i"), F.btrim(s, F.lit(" \t\r\n")).alias("s"))), lambda x: x["s"] != "")
-
-
-def _runs(span: int, words: int) -> Column:
-    """Run number j covers pieces j to j + span - 1 of _s; two hashes are its key. Null where it has too few words."""
-    columns = [F.slice(F.col("_s"), k + 1, F.greatest(F.size("_s") - (span - 1), F.lit(0))).alias(f"s{k}") for k in range(span)]
-    text = lambda r: F.concat_ws(" ", *(r[f"s{k}"] for k in range(span)))
-    long = lambda t: F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) >= words - 1
-    key = lambda r, j: F.struct(F.xxhash64(r).alias("h"), F.hash(r).alias("g"), j.alias("j"))
-    return F.filter(F.transform(F.arrays_zip(*columns), lambda r, j: F.when(long(text(r)), key(r, j))), lambda x: x.isNotNull())
-
-
-def _cut_out(text: str | None, starts: list | None, windows: list | None, span: int) -> tuple[str | None, int, list]:
-    """The text without the pieces of its repeated runs and the windows that no such piece meets; how many pieces lost words; these windows."""
-    pieces = re.split(_CUTS, text or "")
-    filled = [i for i, p in enumerate(pieces) if p.strip(" \t\r\n")]
-    gone = {i for j in starts or [] for i in filled[j : j + span]}
-    ends = list(accumulate(map(len, pieces)))
-    cuts, hit, free = [(ends[i] - len(pieces[i]), ends[i]) for i in gone], set(gone), []
-    for w in windows or []:
-        met = range(bisect_right(ends, w["j"]), bisect_left(ends, w["stop"]) + 1)
-        if gone.isdisjoint(met):
-            hit.update(met)
-            cuts.append((w["j"], w["stop"]))
-            free.append(w)
-    if not cuts:
-        return text, 0, free
-    kept, at = [], 0
-    for a, b in sorted(cuts):
-        kept.append(text[at : max(a, at)])
-        at = max(at, b)
-    return "".join(kept) + text[at:], len(hit.intersection(filled)), free
-
-
-def _later(rows: DataFrame, place: Column, other: Column, first: Column) -> DataFrame:
-    """Rows of keys (h, g) that aren't the first of their key, as far as other tells them from it."""
-    repeated = rows.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
-    return rows.join(repeated, ["h", "g"]).filter(other != first)
-
-
-def _beside(docs: DataFrame, more: DataFrame, how: str) -> DataFrame:
-    """docs with more's columns, by id (which may be null) and text key."""
-    more = more.withColumnsRenamed({"_id": "_other_id", "_key": "_other_key"})
-    return docs.join(more, F.col("_id").eqNullSafe(F.col("_other_id")) & (F.col("_key") == F.col("_other_key")), how).drop("_other_id", "_other_key")
-
-
-def _of_keys(docs: DataFrame, few: DataFrame) -> DataFrame:
-    """The documents whose text key is among few's: the others don't travel."""
-    keys = few.select("_key").distinct()
-    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, "_key", "left_semi")
+BLANK, _CUT, _BATCH, _CACHE = " \t\r\n", "\0", 1 << 20, 500_000
+_SENTENCE = re.compile(f"(?<=\n)|(?<=[{MARKS}][ \t])|(?<=[{DENSE_MARKS}])")
+_DENSE_LETTER = re.compile(f"[{DENSE}]")
+_TOKEN = re.compile(f"[{BLANK}]*(?:[{DENSE}]|[^{BLANK}{DENSE}]+)[{BLANK}]*|[{BLANK}]+")
+_U = np.uint64
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+
+
+class _Chosen(dict):
+    def __missing__(self, token: str) -> bool:
+        if len(self) >= _CACHE:
+            self.clear()
+        self[token] = found = md5(token.strip(BLANK).encode()).hexdigest()[0] in CHOSEN
+        return found
+
+
+_chosen = _Chosen()
+
+
+def weight(piece: str, dense: bool) -> int:
+    """How many words a piece without blanks around it has."""
+    return piece.count(" ") + 1 + (len(_DENSE_LETTER.findall(piece)) if dense else 0)
+
+
+def _shorter(sentence: str) -> list[str]:
+    """The pieces of a long sentence."""
+    out, begin, at = [], 0, 0
+    for token in _TOKEN.findall(sentence):
+        at += len(token)
+        if _chosen[token]:
+            out.append(sentence[begin:at])
+            begin = at
+    if begin < len(sentence):
+        out.append(sentence[begin:])
+    return out
+
+
+def pieces(text: str) -> list[str]:
+    """What a text is cut into; joined, it is the text."""
+    dense = not text.isascii() and _DENSE_LETTER.search(text) is not None
+    if dense or _CUT in text:
+        sentences = _SENTENCE.split(text)
+    else:
+        marked = text.replace("\n", f"\n{_CUT}")
+        for mark in MARKS:
+            marked = marked.replace(f"{mark} ", f"{mark} {_CUT}").replace(f"{mark}\t", f"{mark}\t{_CUT}")
+        sentences = marked.split(_CUT)
+    out: list[str] = []
+    for s in sentences:
+        if (dense or s.count(" ") >= LONG) and weight(s.strip(BLANK), dense) > LONG:
+            out += _shorter(s)
+        elif s:
+            out.append(s)
+    return out
+
+
+def filled(text: str) -> tuple[list[str], list[int]]:
+    """The pieces of a text that aren't blank, without blanks around them, and how many words each has."""
+    dense = not text.isascii() and _DENSE_LETTER.search(text) is not None
+    own = list(filter(None, (p.strip(BLANK) for p in pieces(text))))
+    return own, [p.count(" ") + 1 for p in own] if not dense else [weight(p, True) for p in own]
+
+
+def run_ends(weights: np.ndarray, limits: np.ndarray, span: int, words: int) -> np.ndarray:
+    """For each piece where its run ends (exclusive), beyond limits where there is none. limits: where its text's pieces end."""
+    total = np.concatenate([[0], np.cumsum(weights)])
+    return np.maximum(np.arange(len(weights)) + span, np.searchsorted(total, total[:-1] + words)).astype(np.int64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
+    return x ^ (x >> _U(31))
+
+
+def _range_hashes(x: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: int) -> np.ndarray:
+    """Hashes of x[start:stop], the same wherever a range lies: differences of a polynomial's running sum, moved back to its start."""
+    powers = lambda b: np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(max(len(x) - 1, 0), b, _U)]))[: len(x)]
+    sums = np.concatenate([np.zeros(1, _U), np.cumsum(x * powers(base))])
+    return _mixed((sums[stops] - sums[starts]) * powers(pow(base, -1, 1 << 64))[starts])
+
+
+def _runs(batches: Iterator[pa.RecordBatch], span: int, words: int) -> Iterator[pa.RecordBatch]:
+    """(_id, _key, _text) to (_id, _key, h, g, j): a row for each run, by two hashes, and the number of its first piece."""
+    import xxhash
+
+    hashed = xxhash.xxh64_intdigest
+    for batch in batches:
+        texts, begin, chars = batch.column(2).to_pylist(), 0, 0
+        for end, text in enumerate(texts, 1):
+            chars += len(text) + 1
+            if chars < _BATCH and end < len(texts):
+                continue
+            hashes, weights, sizes = [], [], []
+            for t in texts[begin:end]:
+                own, heavy = filled(t)
+                sizes.append(len(own))
+                hashes += [hashed(p.encode()) for p in own]
+                weights += heavy
+            limits = np.repeat(np.cumsum(sizes), sizes)
+            stops = run_ends(np.array(weights, np.int64), limits, span, words)
+            starts = np.flatnonzero(stops <= limits)
+            x = _mixed(np.array(hashes, _U) + _U(1))
+            rows = pa.array(np.repeat(np.arange(begin, end), sizes)[starts], pa.int64())
+            numbers = np.arange(len(x)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            h, g = (_range_hashes(x, starts, stops[starts], b).view(np.int64) for b in _BASES)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(h), pa.array(g.astype(np.int32)), pa.array(numbers[starts].astype(np.int32))], ["_id", "_key", "h", "g", "j"])
+            begin, chars = end, 0
+
+
+def cut_out(text: str, starts: list[int], span: int, words: int) -> tuple[str, int]:
+    """The text without the runs that begin with these pieces, and how many pieces that were."""
+    own, at = [], 0
+    for p in pieces(text):
+        if p.strip(BLANK):
+            own.append((at, at + len(p)))
+        at += len(p)
+    weights = np.array(filled(text)[1], np.int64)
+    stops = run_ends(weights, np.full(len(weights), len(weights)), span, words)
+    kept, done, after, removed = [], 0, 0, 0
+    for j in sorted(set(starts)):
+        stop = int(stops[j])
+        removed += stop - max(j, after)
+        after = stop
+        a, b = own[j][0], own[stop - 1][1]
+        kept.append(text[done : max(a, done)])
+        done = b
+    return "".join(kept) + text[done:], removed
 
 
 def remove_repeated_spans(docs: DataFrame, span: int = SPAN, words: int = WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with a shorter text where others said it first, n_sentences and n_removed (both count pieces)."""
-    own = docs.drop(*RESULTS).withColumn("_text", text_or_empty(text)).withColumn("_key", F.xxhash64("_text"))
-    cut = own.select(F.col(id).alias("_id"), "_key", _filled(F.split("_text", _CUTS, -1))["s"].alias("_s"))
-    runs = cut.filter(F.size("_s") >= span).select("_id", "_key", F.inline(_runs(span, words)))
-    place, doc, first_doc = F.struct("_id", "_key", "j"), F.struct("_id", "_key"), F.struct("first._id", "first._key")
-    covered = materialised(_later(runs, place, place, F.col("first")).groupBy("_id", "_key").agg(F.collect_set("j").alias("_starts")), "covered")
-
-    of_text = own.filter(F.length("_text") >= passages.LONG).select(F.col(id).alias("_id"), "_key", "_text")
-    head = f"_id {docs.schema[id].dataType.simpleString()}, _key long, h long, g long, j int, stop int"
-    taken = _later(of_text.mapInArrow(passages.windows, head), doc, doc, first_doc)
-    perhaps = materialised(taken.groupBy("_id", "_key").agg(F.collect_set(F.struct("h", "g", "j", "stop")).alias("_windows")), "perhaps")
-    free = F.udf(lambda t, s, w: _cut_out(t, s, w, span)[2], "array<struct<h:bigint,g:bigint,j:int,stop:int>>", useArrow=True)
-    at = _beside(_beside(perhaps, _of_keys(of_text, perhaps), "inner"), covered, "left")
-    candidates = materialised(at.select(F.explode(free("_text", "_starts", "_windows")).alias("w")).select("w.h", "w.g").distinct(), "candidates")
-    among = F.broadcast(candidates) if candidates.count() <= BROADCAST_KEYS else candidates
-    holders = materialised(of_text.mapInArrow(passages.windows, head).join(among, ["h", "g"], "left_semi").select("_key").distinct(), "holders")
-    around = _of_keys(of_text, holders).select("_id", "_key", "_text").mapInArrow(passages.windows_around, head + ", long_h long, long_g long, long_j int, long_stop int")
-    held = around.join(among, ["h", "g"], "left_semi")
-    long = held.select("_id", "_key", F.col("long_h").alias("h"), F.col("long_g").alias("g"), F.col("long_j").alias("j"), F.col("long_stop").alias("stop"))
-    passed = _later(long, doc, doc, first_doc).groupBy("_id", "_key").agg(F.collect_set(F.struct("j", "stop")).alias("_windows"))
-
-    both = covered.withColumn("_windows", F.lit(None).cast(passed.schema["_windows"].dataType)).unionByName(passed.withColumn("_starts", F.lit(None).cast("array<int>")))
-    lost = materialised(both.groupBy("_id", "_key").agg(F.first("_starts", True).alias("_starts"), F.first("_windows", True).alias("_windows")), "lost")
+    """docs with a shorter text where others said it first, and n_removed, the sentences (pieces) that went."""
+    own = docs.drop("n_removed").withColumn("_key", F.xxhash64(text_or_empty(text)))
+    head = f"_id {docs.schema[id].dataType.simpleString()}, _key long, h long, g int, j int"
+    runs = own.select(F.col(id).alias("_id"), "_key", text_or_empty(text).alias("_text")).mapInArrow(lambda batches: _runs(batches, span, words), head)
+    runs = materialised(runs, "runs")
+    place = F.struct("_id", "_key", "j")
+    repeated = runs.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
+    later = runs.join(repeated.hint("shuffle_hash"), ["h", "g"]).filter(place != F.col("first"))
+    lost = materialised(later.groupBy("_id", "_key").agg(F.collect_set("j").alias("_starts")), "lost")  # a document's own runs at most
+
     # only documents that lose something travel; the others are told by their keys
     keys = lost.select("_key").distinct()
     few = keys.count() <= BROADCAST_KEYS
     keyed = own.join((F.broadcast(keys) if few else keys).withColumn("_hit", F.lit(True)), "_key", "left")
-    touched = keyed.filter("_hit")
-    joined = _beside(touched.withColumn("_id", F.col(id)), lost, "left")
-    without = F.udf(lambda t, s, w: _cut_out(t, s, w, span)[:2], "struct<text:string,n:bigint>", useArrow=True)
-    changed = joined.withColumn("_new", without(F.col(text), F.col("_starts"), F.col("_windows"))).drop("_id", "_starts", "_windows")
+    shorter = F.udf(lambda t, starts: cut_out(t, starts, span, words) if starts else (t, 0), "struct<text:string,n:bigint>", useArrow=True)
+    other = lost.withColumnsRenamed({"_id": "_other_id", "_key": "_other_key"})
+    touched = keyed.filter("_hit").join(other, F.col(id).eqNullSafe(F.col("_other_id")) & (F.col("_key") == F.col("_other_key")), "left")
+    changed = touched.withColumn("_new", shorter(text, "_starts")).drop("_other_id", "_other_key", "_starts")
     result = changed.unionByName(keyed.filter("_hit IS NULL").withColumn("_new", F.struct(F.col(text).alias("text"), F.lit(0).cast("long").alias("n"))))
-    counted = result.withColumn("n_sentences", F.size(_filled(F.split("_text", _CUTS, -1))).cast("long"))
-    return counted.withColumn("n_removed", F.col("_new.n")).withColumn(text, F.col("_new.text")).select(*(c for c in docs.columns if c not in RESULTS), *RESULTS)
+    return result.withColumn("n_removed", F.col("_new.n")).withColumn(text, F.col("_new.text")).select(*(c for c in docs.columns if c != "n_removed"), "n_removed")

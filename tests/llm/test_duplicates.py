@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from hashlib import md5
 
 import pytest
 
@@ -61,27 +62,47 @@ def test_bands():
         assert (1 - t**rows) ** bands <= 1e-8 and bands <= 48
 
 
-CUT = re.compile(r"(?<=\n)|(?<=[.!?,;:][ \t])")
+def plain_pieces(text):
+    """Sentences, long ones cut behind chosen words; written apart from the operator."""
+    letter = sentence_spans.DENSE
+    out = []
+    for sentence in re.split(f"(?<=\n)|(?<=[.!?][ \t])|(?<=[。！？])", text):
+        words = len(sentence.strip(" \t\r\n").split(" ")) + len(re.findall(f"[{letter}]", sentence))
+        if words <= 16:
+            out.append(sentence)
+            continue
+        piece = ""
+        for token in re.findall(f"[ \t\r\n]*(?:[{letter}]|[^ \t\r\n{letter}]+)[ \t\r\n]*|[ \t\r\n]+", sentence):
+            piece += token
+            if md5(token.strip(" \t\r\n").encode()).hexdigest()[0] in "012":
+                out.append(piece)
+                piece = ""
+        out.append(piece)
+    return [x for x in out if x]
 
 
 def brute_spans(docs, span=3, words=12):
     """{(id, text): new text} for distinct rows."""
     cut, first, runs = {}, {}, []
     for key in sorted(set(docs), key=lambda r: (r[0] is not None, r[0])):
-        pieces = [x for x in re.split(CUT, key[1] or "")]
+        pieces = plain_pieces(key[1] or "")
         filled = [(i, p.strip(" \t\r\n")) for i, p in enumerate(pieces) if p.strip(" \t\r\n")]
         cut[key] = (pieces, filled)
-        for j in range(len(filled) - span + 1):
-            run = tuple(s for _, s in filled[j : j + span])
-            if len(" ".join(run).split(" ")) < words:
+        for j in range(len(filled)):
+            e, weigh = j, 0
+            while e < len(filled) and (e < j + span or weigh < words):
+                weigh += len(filled[e][1].split(" ")) + len(re.findall(f"[{sentence_spans.DENSE}]", filled[e][1]))
+                e += 1
+            if e < j + span or weigh < words:
                 continue
+            run = tuple(s for _, s in filled[j:e])
             if run in first:
-                runs.append((key, j))
+                runs.append((key, filled[j][0], filled[e - 1][0]))
             else:
                 first[run] = (key, j)
     gone = {}
-    for key, j in runs:
-        gone.setdefault(key, set()).update(i for i, _ in cut[key][1][j : j + span])
+    for key, a, b in runs:
+        gone.setdefault(key, set()).update(range(a, b + 1))
     return {key: key[1] if key not in gone else "".join(p for i, p in enumerate(cut[key][0]) if i not in gone[key]) for key in cut}
 
 
@@ -158,26 +179,21 @@ def test_pipeline(spark):
         assert sum(n for _, n, _ in pieces) == len(want[d])
 
 
-def test_passages_without_runs(spark):
-    """Repeated passages of over 50 words whose pieces are short or of a script without spaces."""
+def test_passages_without_sentences(spark):
+    """Repeated passages of over 50 words whose sentences are short, endless or of a script without spaces."""
     rng = random.Random(4)
     shout = "".join(f"SHOUT{i}!! " for i in range(70))
     han = "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(90))
+    flow = " ".join(f"flow{i}" for i in range(60))
     own = lambda i: " ".join(f"own{i}x{k}" for k in range(8))
-    docs = [(n * 10 + i, f"{own(n * 10 + i)} {p} {own(n * 10 + i)} end") for n, p in enumerate([shout, han]) for i in range(3)]
-    docs += [(100, " ".join(f"alone{i}" for i in range(90))), (101, own(1) + " " + "".join(f"SHOUT{i}!! " for i in range(40)))]
-    got = {r.doc_id: (r.text, r.n_removed) for r in sentence_spans.remove_repeated_spans(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    docs = [(n * 10 + i, f"{own(n * 10 + i)} {p} {own(n * 10 + i)} end") for n, p in enumerate([shout, han, flow]) for i in range(3)]
+    docs += [(100, " ".join(f"alone{i}" for i in range(90))), (101, "Yes. No. Fine."), (102, "Yes. No. Fine."), (103, None), (104, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.text, r.n_removed) for r in sentence_spans.remove_repeated_spans(df).collect()}
+    assert {d: t for d, (t, _) in got.items()} == {d: t for (d, _), t in brute_spans(docs).items()}
     for d, t in docs:
         if d >= 100 or d % 10 == 0:
             assert got[d] == (t, 0)
         else:
-            assert own(d) in got[d][0] and got[d][0].endswith(f"{own(d)} end") and got[d][1] > 0
-            assert not re.search("SHOUT|[一-鿿]", got[d][0])
-
-
-def test_long_passages_with_ragged_ends(spark):
-    """A repeated passage of 51 words within one piece goes, one of 50 stays."""
-    flow = [f"flow{i}" for i in range(51)]
-    docs = [(i, f"own{i} {' '.join(flow[: 50 + i % 2])} end{i}") for i in range(1, 6)]
-    got = {r.doc_id: (r.text, r.n_removed) for r in sentence_spans.remove_repeated_spans(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
-    assert got == {d: (f"own{d}  end{d}", 1) if d in (3, 5) else (t, 0) for d, t in docs}
+            # words that the two own texts say twice may go as well; of the passage its ragged ends may stay
+            assert got[d][1] > 0 and len(re.findall("SHOUT|[一-鿿]|flow", got[d][0])) <= 20
