@@ -1,21 +1,23 @@
 """Personal data: patterns find it, and information theory finds the terms that give it away.
 
-``find_base`` finds e-mail addresses, IP addresses, payment cards and phone numbers. ``disclosing_terms`` estimates from all
-documents how strongly a term reveals that a kind of personal data is present: with IC(e) = -log2 p(e) and
-PMI(t; e) = log2 p(e | t) / p(e), a term discloses the share PMI / IC of what there is to know. Terms
-at ``generalise_at`` or above become a class mark, at ``remove_at`` or above they go, in documents that hold that kind. A term must
-stand beside ``least_values`` different values of the kind (all of a document's count), so copies of one text are no evidence.
-Everything is DataFrame and SQL expressions.
+``find_base`` finds e-mail addresses, IP addresses, payment cards and phone numbers. Each different value is a protected entity e.
+``disclosing_terms`` estimates from all documents how strongly a term t reveals e: of the n(t) different texts that hold t, n(t, e) hold it
+within ``WINDOW`` code points of e. PMI(t; e) = log2 p(e | t) / p(e) reaches the entity's whole information content IC(e) = -log2 p(e) where
+p(e | t) is 1, so IC(e) - PMI(t; e) = -log2 p(e | t) bits are what a reader who knows t still lacks, at every corpus size. p(e | t) counts
+by its lower confidence bound (Wilson, ``CONFIDENCE`` standard errors), so a few texts are weaker evidence than many. A term that
+leaves ``generalise_bits`` or less becomes a class mark, with ``remove_bits`` or less it goes, wherever the text that holds it beside e
+has it. Copies of one text count once. Everything is DataFrame and SQL expressions.
 
 Rows: a null text counts as empty; repeated rows and ids get results of their own; other columns pass through (result columns of the same
-name are replaced); an empty table gives an empty result. Spans are in code points, the end exclusive.
+name are replaced); an empty table gives an empty result; texts of any length are searched whole, with patterns that never scan a run again.
+Spans are in code points, the end exclusive.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import text_or_empty
+from .shared import materialised, text_or_empty
 
 KINDS = ["email", "ip", "card", "phone"]
 #: A run of a class can only match from its start or where the last match ended: every other start would fail the same way, only later.
@@ -33,6 +35,10 @@ MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]",
 RESULTS = ["n_email", "n_ip", "n_card", "n_phone", "n_term", "base_spans", "term_spans", "clean_text"]
 _SPANS = "array<struct<start:bigint,stop:bigint,kind:string,value:string>>"
 _BLOCK = 256
+#: Code points on either side of a value that are its surroundings, and standard errors of the bound (95 % one-sided).
+WINDOW, CONFIDENCE = 64, 1.645
+#: Hashes that are sent to every executor at most (8 bytes each); more are joined by shuffle.
+BROADCAST_HASHES = 1_000_000
 
 
 def _bind(value: Column, body) -> Column:
@@ -91,52 +97,76 @@ def find_base(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumns({f"n_{k}": F.size(f"_{k}").cast("long") for k in KINDS} | {"base_spans": spans}).drop(*(f"_{k}" for k in KINDS))
 
 
-def _terms(found: DataFrame) -> Column:
-    """Distinct lower-case words of three letters or more, without those within base spans."""
-    masked = F.col("_text")
-    for kind in KINDS:
-        masked = F.when(F.col(f"n_{kind}") > 0, F.regexp_replace(masked, PATTERNS[kind], " ")).otherwise(masked)
-    return F.filter(F.array_distinct(F.split(F.lower(masked), "[^\\p{L}]+")), lambda w: F.length(w) >= 3)
-
-
-def disclosing_terms(found: DataFrame, generalise_at: float, remove_at: float, least_values: int) -> DataFrame:
-    """Terms (by 64-bit hash) and kinds whose disclosure reaches a threshold: term_hash, kind, removed."""
-    has = {k: (F.col(f"n_{k}") > 0) for k in KINDS}
-    seen = found.select(F.explode(F.transform(_terms(found), lambda w: F.xxhash64(w))).alias("term_hash"), *(c.cast("long").alias(f"has_{k}") for k, c in has.items()))
-    counts = seen.groupBy("term_hash").agg(F.count("*").alias("n_t"), *(F.sum(f"has_{k}").alias(f"te_{k}") for k in KINDS)).filter(" OR ".join(f"te_{k} >= {least_values}" for k in KINDS))
-    joint = counts.select("term_hash", "n_t", F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"te_{k}").alias("n_te")) for k in KINDS)))).filter(f"n_te >= {least_values}")
-    totals = found.agg(F.count("*").alias("n"), *(F.sum(c.cast("long")).alias(f"e_{k}") for k, c in has.items())).select("n", F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"e_{k}").alias("n_e")) for k in KINDS)))).filter("n_e > 0")
-    share = F.log2(F.col("n_te") * F.col("n") / (F.col("n_t") * F.col("n_e"))) / F.greatest(-F.log2(F.col("n_e") / F.col("n")), F.lit(1e-9))
-    strong = joint.join(F.broadcast(totals), "kind").withColumn("share", share).filter(F.col("share") >= generalise_at)  # totals: a row per kind
-    stood = F.array_distinct(F.transform("base_spans", lambda s: F.struct(s["kind"].alias("kind"), F.xxhash64(s["value"]).alias("value"))))
-    values = found.filter(" OR ".join(f"n_{k} > 0" for k in KINDS)).select(F.explode(F.transform(_terms(found), lambda w: F.xxhash64(w))).alias("term_hash"), stood.alias("vs")).select("term_hash", F.inline("vs")).distinct().groupBy("term_hash", "kind").agg(F.count("*").alias("n_values")).filter(F.col("n_values") >= least_values)
-    return strong.join(values, ["term_hash", "kind"]).select("term_hash", "kind", (F.col("share") >= remove_at).alias("removed"))
-
-
-def sanitise(docs: DataFrame, text: str = "text", generalise_at: float = 0.7, remove_at: float = 0.9, least_values: int = 20) -> DataFrame:
+def _replaced(text: Column, spans: Column, mark) -> Column:
+    """text with mark(span) in place of each span; spans by start, those within others go with them."""
+    between = lambda a, s: F.substring(text, a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int"))
+    over = lambda a, s: F.struct(F.greatest(a["at"], s["stop"]).alias("at"), a["out"].alias("out"))
+    whole = lambda a, s: F.struct(s["stop"].alias("at"), F.concat(a["out"], between(a, s), mark(s)).alias("out"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    rest = lambda a: F.concat(a["out"], F.substring(text, a["at"].cast("int") + 1, F.length(text)))
+    return F.aggregate(spans, start, lambda a, s: F.when(s["start"] < a["at"], over(a, s)).otherwise(whole(a, s)), rest)
+
+
+def _words(text: Column) -> Column:
+    """Distinct lower-case words of three letters or more."""
+    return F.filter(F.array_distinct(F.split(F.lower(text), "[^\\p{L}]+")), lambda w: F.length(w) >= 3)
+
+
+def surroundings(found: DataFrame) -> DataFrame:
+    """(_row, _key, entity, term) for the whole words within WINDOW code points of a value; entity is a hash of kind and value.
+
+    Values themselves are blank there. found: written rows with _row, _key, _text and base_spans.
+    """
+    blank = lambda s: F.repeat(F.lit(" "), (s["stop"] - s["start"]).cast("int"))
+    bearing = found.filter(F.size("base_spans") > 0).select("_row", "_key", "base_spans", _replaced(F.col("_text"), F.col("base_spans"), blank).alias("_blanked"))
+    # a value overlapped by another is as long as what was blanked before it, so places hold
+    near = bearing.select("_row", "_key", "_blanked", F.explode("base_spans").alias("s"))
+    begin = F.greatest(F.col("s.start") - WINDOW, F.lit(0)).cast("int")
+    around = F.substring("_blanked", begin + 1, (F.col("s.stop") - begin).cast("int") + WINDOW)
+    whole = F.when(begin > 0, F.regexp_replace(around, "^\\p{L}+", "")).otherwise(around)
+    whole = F.when(F.col("s.stop") + WINDOW < F.length("_blanked"), F.regexp_replace(whole, "\\p{L}+$", "")).otherwise(whole)
+    rows = near.select("_row", "_key", F.xxhash64("s.kind", "s.value").alias("entity"), F.explode(_words(whole)).alias("term"))
+    return rows.withColumn("term_hash", F.xxhash64("term")).distinct()
+
+
+def disclosing_terms(found: DataFrame, near: DataFrame, generalise_bits: float, remove_bits: float) -> DataFrame:
+    """(term_hash, entity, removed) of terms that leave a reader generalise_bits at most. near: as surroundings gives it."""
+    copies = found.groupBy("_key").agg(F.count("*").alias("times"), F.min("_row").alias("first")).filter("times > 1")
+    few = lambda keys: F.broadcast(keys) if keys.count() <= BROADCAST_HASHES else keys
+    again = materialised(found.select("_row", "_key").join(copies, "_key").filter("_row <> first").select("_row"), "copies")
+    again = few(again)
+    joint = near.join(again, "_row", "left_anti").groupBy("term_hash", "entity").agg(F.count("*").alias("n_te"))
+    asked = few(materialised(joint.select("term_hash").distinct(), "terms"))
+    blank = lambda s: F.repeat(F.lit(" "), (s["stop"] - s["start"]).cast("int"))
+    words = F.when(F.size("base_spans") > 0, _words(_replaced(F.col("_text"), F.col("base_spans"), blank))).otherwise(_words(F.col("_text")))
+    said = found.join(again, "_row", "left_anti").select(F.explode(words).alias("term")).select(F.xxhash64("term").alias("term_hash"))
+    often = said.join(asked, "term_hash", "left_semi").groupBy("term_hash").agg(F.count("*").alias("n_t"))
+    n, p, z = F.col("n_t"), F.col("n_te") / F.col("n_t"), CONFIDENCE
+    bound = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    strong = joint.join(often, "term_hash").withColumn("left", -F.log2(F.greatest(bound, F.lit(1e-300))))
+    return strong.filter(F.col("left") <= generalise_bits).select("term_hash", "entity", (F.col("left") <= remove_bits).alias("removed"))
+
+
+def sanitise(docs: DataFrame, text: str = "text", generalise_bits: float = 2.0, remove_bits: float = 1.0) -> DataFrame:
     """docs with base_spans, term_spans, the counts and clean_text."""
-    found = find_base(docs, text)
-    held = " OR ".join(f"n_{k} > 0" for k in KINDS)
-    terms = disclosing_terms(found, generalise_at, remove_at, least_values)
-    bearing = found.filter(held).withColumn("_key", F.xxhash64("_text"))
-    kinds = F.filter(F.array(*(F.when(F.col(f"n_{k}") > 0, F.lit(k)) for k in KINDS)), lambda k: k.isNotNull())
-    own = bearing.select("_key", kinds.alias("kinds"), F.explode(_terms(found)).alias("term")).select("_key", "term", F.xxhash64("term").alias("term_hash"), F.explode("kinds").alias("kind")).distinct()
-    listed = own.join(terms, ["term_hash", "kind"]).groupBy("_key", "term").agg(F.max("removed").alias("removed")).groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("term", "removed"))).alias("_listed"))
-    joined = bearing.join(listed, "_key", "left").drop("_key")
+    base = find_base(docs, text).withColumns({"_key": F.xxhash64("_text"), "_row": F.monotonically_increasing_id()})
+    found = materialised(base, "personal-data")  # the patterns run once, and rows have numbers from here on
+    near = materialised(surroundings(found), "surroundings")
+    terms = disclosing_terms(found, near, generalise_bits, remove_bits)
+    listed = near.join(terms, ["term_hash", "entity"]).groupBy("_row", "term").agg(F.max("removed").alias("removed"))
+    listed = listed.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("term", "removed"))).alias("_listed"))  # words beside a document's own values
+    marked = found.filter(F.size("base_spans") > 0).join(listed, "_row", "left")
     words = lambda removed: F.filter("_listed", lambda x: x["removed"] == removed)["term"]
-    spans = [located(F.col("_text"), F.concat(F.lit("(?iu)(?<!\\p{L})(?:"), F.array_join(words(removed), "|"), F.lit(")(?!\\p{L})")), kind, F.size(words(removed)) > 0) for removed, kind in ((False, "term"), (True, "drop"))]
+    pattern = lambda removed: F.concat(F.lit("(?iu)(?<!\\p{L})(?:"), F.array_join(words(removed), "|"), F.lit(")(?!\\p{L})"))
+    spans = [located(F.col("_text"), pattern(removed), kind, F.size(words(removed)) > 0) for removed, kind in ((False, "term"), (True, "drop"))]
     clear = lambda s: ~F.exists("base_spans", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
     none = F.array().cast(_SPANS)
-    marked = joined.withColumn("term_spans", F.when(F.col("_listed").isNull(), none).otherwise(F.sort_array(F.filter(F.concat(*(F.coalesce(s, none) for s in spans)), clear)))).drop("_listed")
+    own = F.when(F.col("_listed").isNull(), none).otherwise(F.sort_array(F.filter(F.concat(*(F.coalesce(s, none) for s in spans)), clear)))
+    marked = marked.withColumn("term_spans", own).drop("_listed")
     mark = F.create_map(*(F.lit(x) for pair in MARKS.items() for x in pair))
-    fold = F.aggregate(
-        F.sort_array(F.concat("base_spans", "term_spans")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.when(s["start"] < a["at"], F.struct(F.greatest(a["at"], s["stop"]).alias("at"), a["out"].alias("out"))).otherwise(F.struct(s["stop"].alias("at"), F.concat(a["out"], F.substring(F.col("_text"), a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int")), mark[s["kind"]]).alias("out"))),
-        lambda a: F.concat(a["out"], F.substring(F.col("_text"), a["at"].cast("int") + 1, F.length("_text"))),
-    )
-    plain = found.filter(f"NOT ({held})").withColumns({"term_spans": none, "clean_text": F.col("_text")})
-    return marked.withColumn("clean_text", fold).unionByName(plain).withColumn("n_term", F.size("term_spans").cast("long")).drop("_text")
+    clean = _replaced(F.col("_text"), F.sort_array(F.concat("base_spans", "term_spans")), lambda s: mark[s["kind"]])
+    plain = found.filter(F.size("base_spans") == 0).withColumns({"term_spans": none, "clean_text": F.col("_text")})
+    return marked.withColumn("clean_text", clean).unionByName(plain).withColumn("n_term", F.size("term_spans").cast("long")).drop("_text", "_key", "_row")
 
 
 def span_text(spans: Column) -> Column:

@@ -1,9 +1,12 @@
 """Plain versions of the operators' contracts, a document at a time."""
 
 import hashlib
+import math
 import re
 import zlib
 
+import regex
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 KINDS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -85,3 +88,56 @@ def near_components(docs, k=3, percent=85):
 
 def crc(ids):
     return zlib.crc32(b"".join(int(i).to_bytes(4, "little") for i in ids))
+
+
+LETTERS = regex.compile(r"\p{L}+")
+
+
+def terms_of(text):
+    return {w for w in LETTERS.findall(text.lower()) if len(w) >= 3}
+
+
+def base_spans(text):
+    return sorted((m.start(), n, m.end(), k, m[0]) for n, (k, p) in enumerate(KINDS.items()) for m in p.finditer(text) if holds(k, m[0]))
+
+
+def sanitised(texts, window=64, z=1.645, generalise_bits=2.0, remove_bits=1.0):
+    """[(spans as (start, stop, kind), clean text)] of each text: counts over distinct texts, the bound of p(e | t), marks."""
+    near, held, blanked = {}, {}, {}
+    for text in set(texts):
+        spans, blank = base_spans(text), list(text)
+        for a, _, b, *_ in spans:
+            blank[a:b] = " " * (b - a)
+        blank = blanked[text] = "".join(blank)
+        for w in terms_of(blank):
+            held[w] = held.get(w, 0) + 1
+        for a, _, b, kind, value in spans:
+            part = blank[max(a - window, 0) : b + window]
+            if a > window:
+                part = regex.sub(r"^\p{L}+", "", part)
+            if b + window < len(blank):
+                part = regex.sub(r"\p{L}+$", "", part)
+            for w in terms_of(part):
+                near.setdefault((w, kind, value), set()).add(text)
+    left = {}
+    for (w, kind, value), where in near.items():
+        n = held[w]
+        p = len(where) / n
+        left[w, kind, value] = -math.log2((p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n))
+    out = []
+    for text in texts:
+        listed = {}
+        for (w, kind, value), where in near.items():
+            if text in where and left[w, kind, value] <= generalise_bits:
+                listed[w] = listed.get(w, False) or left[w, kind, value] <= remove_bits
+        base = base_spans(text)
+        own = [(m.start(), m.end(), "drop" if listed[m[0].lower()] else "term") for m in LETTERS.finditer(text) if m[0].lower() in listed]
+        own = [s for s in own if not any(a < s[1] and s[0] < b for a, _, b, *_ in base)]
+        marks = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]", "drop": ""}
+        clean, at = "", 0
+        for a, b, kind in sorted([(a, b, k) for a, _, b, k, _ in base] + own):
+            if a >= at:
+                clean += text[at:a] + marks[kind]
+            at = max(at, b)
+        out.append((own, clean + text[at:]))
+    return out

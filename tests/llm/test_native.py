@@ -37,23 +37,44 @@ def test_base_spans(spark, odd):
         assert ",".join(f"{s.kind}:{s.start}:{s.stop}" for s in r.base_spans) == joined
 
 
-def test_disclosing_terms(spark):
-    rows = [(i, f"plain words stand here number{chr(97 + i % 7)}") for i in range(400)]
-    rows += [(1000 + i, f"write Secretword to u{i}@mail.example soon") for i in range(30)]
-    rows += [(2000 + i, "copied rareword beside same@mail.example") for i in range(50)]
-    out = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string"), least_values=20).collect()}
-    assert out[1000].n_term == 3 and "ecretword" not in out[1000].clean_text and "[EMAIL]" in out[1000].clean_text
-    assert [(s.start, s.stop) for s in out[1000].term_spans][1] == (6, 16)
-    assert out[2000].clean_text == "copied rareword beside [EMAIL]"
-    assert out[3].clean_text == rows[3][1]
-
-
-def test_terms_beside_later_values(spark):
-    """Pages that all begin with one address and then name their own: every value of a page counts, not only the first."""
-    rows = [(i, f"plain words stand here number{chr(97 + i % 7)}") for i in range(400)]
-    rows += [(1000 + i, f"office@mail.example lists Secretword u{i}@mail.example soon") for i in range(30)]
-    out = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string"), least_values=20).collect()}
-    assert out[1000].n_term == 3 and "ecretword" not in out[1000].clean_text and out[3].clean_text == rows[3][1]
+def test_disclosing_terms(spark, odd):
+    """Terms, their spans, clean texts and op7's own columns against the plain version."""
+    rng = random.Random(8)
+    common = [f"word{c}" for c in "abcdefghijklmnopqrst"]
+    line = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    rows = [line(30) for _ in range(300)]
+    rows += [f"{line(4)} Secretname {rng.choice(common)} anna@mail.example {line(20)}" for _ in range(6)]
+    rows += [f"{line(5)} Öffentlich u{i}@mail.example {line(20)} öffentlich" for i in range(30)]
+    rows += [f"{line(3)} copied Rareword beside same@mail.example {line(2)}"] * 5
+    rows += [f"office@mail.example {line(20)} Lateword other@mail.example", "1.2.3.4 onlyhere " + line(30) + " ONLYHERE"] + [r.text or "" for r in odd.limit(40).collect()]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").withColumn("kept", F.lit("mine")).repartition(4)
+    want = brute.sanitised(rows)
+    got = {r.doc_id: r for r in pii.sanitise(df).collect()}
+    assert len(got) == len(rows)
+    for i, (spans, clean) in enumerate(want):
+        assert [(s.start, s.stop, s.kind) for s in got[i].term_spans] == spans and got[i].n_term == len(spans), rows[i]
+        assert got[i].clean_text == clean and got[i].kept == "mine"
+    assert all("ecretname" not in got[i].clean_text and "[TERM]" not in got[i].clean_text for i in range(300, 306))  # six of six: removed
+    assert all("ffentlich" in got[i].clean_text for i in range(306, 336))  # beside thirty different values
+    assert "[TERM] [TERM] [TERM] [EMAIL]" in got[336].clean_text  # five copies count once
+    assert got[342].clean_text.endswith("[TERM]") and got[3].clean_text == rows[3]
+
+
+def test_query_columns(spark):
+    from prospectra.llm import queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    order = [*brute.KINDS, "term", "drop"]
+    terms = dict(zip(docs, brute.sanitised(list(docs.values())), strict=True))
+    found = queries.op7_information_sanitisation(spark, sf_dir).collect()
+    assert len(found) == len(docs)
+    for r in found:
+        counts, digest, _ = brute.pii(docs[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts and r.base_sha256 == digest
+        spans = sorted([(a, order.index(k), b, k) for a, _, b, k, _ in brute.base_spans(docs[r.doc_id])] + [(a, order.index(k), b, "term") for a, b, k in terms[r.doc_id][0]])
+        assert r.spans == ",".join(f"{k}:{a}:{b}" for a, _, b, k in spans)
+    assert sum(r.n_term for r in found) > 0
 
 
 def test_empty_tables(spark):
