@@ -8,6 +8,7 @@ from hashlib import md5
 import pytest
 
 from prospectra.llm import near_duplicates, sentence_spans
+from pyspark.sql import functions as F
 
 from . import brute
 
@@ -189,3 +190,25 @@ def test_passages_without_sentences(spark):
         else:
             # words that the two own texts say twice may go as well; of the passage its ragged ends may stay
             assert got[d][1] > 0 and len(re.findall("SHOUT|[一-鿿]|flow", got[d][0])) <= 20
+
+
+def test_stages_handle_odd_rows(spark):
+    """Null and empty texts, repeated rows, an empty table, and columns named like the operators' results."""
+    import corpus_pipeline
+
+    good = " ".join(f"some words{i} stand{i} here{i}." for i in range(60))
+    rows = [(1, good), (1, good), (2, None), (3, ""), (4, good + " write to a@b.co soon."), (None, good.replace("some", "other")), (5, "short")]
+    names = ["kept", "votes", "posterior", "n_words", "n_email", "clean_text", "_key", "_text", "n_removed", "n_term", "class_id", "label", "id"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit(f"own {n}") for n in names}).withColumn("n_chars", F.length("text"))
+    sizes = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        got = out.collect()
+        sizes[name] = len(got)
+        assert all(r[n] == f"own {n}" for r in got for n in names), name
+        assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
+        assert stage(spark, docs.limit(0), "").count() == 0
+    assert sizes == {"quality rules": 4, "near-duplicates": 5, "substring dedup": 7, "personal data": 7}
+    assert corpus_pipeline.packing_stage(spark, docs, "").select("doc_id").distinct().count() == 6
+    assert corpus_pipeline.packing_stage(spark, docs.limit(0), "").count() == 0
