@@ -138,6 +138,12 @@ def with_keys(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
     return df.join(F.broadcast(keys) if few else keys, key, how)
 
 
+def _by_label(rows: DataFrame, labels: DataFrame, spread: str) -> DataFrame:
+    """rows joined with labels, which has one row for a label; each label's rows are dealt out over SALTS parts by spread."""
+    dealt = labels.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(spread, F.lit(SALTS)).cast("int")).join(dealt, ["label", "salt"]).drop("salt")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) -> node, label: the smallest node that can be reached. Labels go to neighbours and along labels until nothing changes."""
     both = materialised(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
@@ -250,10 +256,10 @@ def classes_and_components(docs: DataFrame, k: int, percent: int, id: str, text:
     if more.limit(1).count():
         found = components(checked.filter("linked").select("a", "b").union(more))
 
-    # classes without a link stand alone: only the others are joined by label, dealt out over SALTS parts of each
+    # classes without a link stand alone: only the others are joined by label
     linked = found.withColumnRenamed("node", "class_id").join(classes.select("class_id", "first_id"), "class_id")
-    least = linked.groupBy("label").agg(F.min("first_id").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    of_class = linked.withColumn("salt", F.pmod("class_id", F.lit(SALTS)).cast("int")).join(least, ["label", "salt"]).select("class_id", "label", "component_id")
+    least = linked.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    of_class = _by_label(linked, least, "class_id").select("class_id", "label", "component_id")
     home = classes.select("class_id", "first_id").join(of_class, "class_id", "left")
     home = home.select("class_id", F.coalesce("label", "class_id").alias("label"), F.when(F.col("label").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"))
     placed = full.select("id", "doc_key", "class_id", "n_shingles").join(home, "class_id").select("id", "doc_key", "class_id", "n_shingles", "label", "component_id")
@@ -275,7 +281,7 @@ def keep_one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id: str = "
     rows = materialised(classes_and_components(docs, k, percent, id, text).filter("label IS NOT NULL").select("id", "doc_key", "label"), "placed")
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "doc_key")
     several = rows.groupBy("label").agg(F.count("*").alias("size"), F.min(rank)["doc_key"].alias("best")).filter("size > 1").drop("size")
-    member = rows.join(several, "label")
+    member = _by_label(rows, several, "doc_key")
     gone = materialised(member.filter("doc_key <> best").select("doc_key").distinct(), "near-copies")
     again = materialised(member.filter("doc_key = best").groupBy("doc_key").agg(F.count("*").alias("times")).filter("times > 1").select("doc_key"), "repeated-rows")
     keyed = docs.withColumn("_doc_key", F.xxhash64(F.col(id).cast("long"), text_or_empty(text)))
