@@ -33,7 +33,7 @@ CHOSEN = "012"
 MARKS = ".!?"
 #: Scripts that are written without spaces (Thai to Tibetan, Burmese, Khmer, kana, Han) as a regular expression's class, and their sentence marks.
 DENSE, DENSE_MARKS = "฀-࿿က-႟ក-៿ぁ-ヿ㐀-鿿豈-﫿", "。！？"
-#: Text keys or hashes that are sent to every executor at most (8 bytes each); more are joined by shuffle.
+#: Text keys that are sent to every executor at most (8 bytes each); more are joined by shuffle.
 BROADCAST_KEYS = 1_000_000
 BLANK, _CUT, _BATCH, _CACHE = " \t\r\n", "\0", 1 << 20, 500_000
 _SENTENCE = re.compile(f"(?<=\n)|(?<=[{MARKS}][ \t])|(?<=[{DENSE_MARKS}])")
@@ -173,10 +173,10 @@ def remove_repeated_spans(docs: DataFrame, span: int = SPAN, words: int = WORDS,
     runs = materialised(runs, "runs")
     # most runs stand once: their hashes alone travel to tell which don't, and only the others go on with their places
     repeated = materialised(runs.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "repeated")
-    small = repeated.count() <= BROADCAST_KEYS
-    again = materialised(runs.join(F.broadcast(repeated) if small else repeated.hint("shuffle_hash"), "h", "left_semi"), "again")
+    again = materialised(runs.join(repeated.hint("shuffle_hash"), "h", "left_semi"), "again")
     place = F.struct("_id", "_key", "j")
-    first = again.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
+    # written, so that a passage which many documents share can be dealt out over several tasks of the join
+    first = materialised(again.groupBy("h", "g").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n"), "first")
     later = again.join(first.hint("shuffle_hash"), ["h", "g"]).filter(place != F.col("first"))
     lost = materialised(later.groupBy("_id", "_key").agg(F.collect_set("j").alias("_starts")), "lost")  # a document's own runs at most
 
