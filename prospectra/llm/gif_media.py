@@ -1,12 +1,15 @@
 """Media columns: GIF.
 
 ``decode`` reads any GIF: block structure, LZW code streams with growing codes, local and global palettes, interlacing, transparency and
-the four disposal rules; it yields timed full-canvas RGB frames. Streams in which a table is cleared before it can be
-used hold literal codes only; equal-sized runs of them are decoded together as one matrix. ``encode_samples`` writes 8-bit samples as
-frames of a grey animation, losslessly, in such streams.
-
-Rows: a null text or media counts as empty (a text still yields one padded frame, empty media no frames); repeated rows get equal results;
-other columns don't matter; an empty table gives no rows; long media go through in bounded groups of frames.
+the four disposal rules; it yields timed full-canvas RGB frames with colour histograms. Code streams of a group of frames are expanded together:
+code widths follow from how many codes were read, a code is a copy of earlier output, and copies are resolved by following
+pointers to literals, twice as far each round. Streams that clear their table on the way, or break off, are expanded one by one by ``lzw``.
+``encode_samples`` writes 8-bit samples losslessly as frames of a grey animation, with a growing LZW dictionary for each frame.
+
+Rows: a null text or media counts as empty (a text still yields one padded frame, empty media no frames); media that aren't a GIF, or whose canvas
+has no pixels or more than MOST_PIXELS, have no frames and a status that says so; a stream that breaks off ends with its last whole image block, whose missing
+pixels have index 0; repeated rows get equal results; other columns don't matter; an empty table gives no rows; long media go through in groups of frames
+that hold GROUP_BYTES of canvas at most.
 """
 
 from __future__ import annotations
@@ -22,9 +25,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from .shared import text_or_empty
 
-SIDE, FRAME, DELAY, LITERALS, GROUP = 24, 576, 10, 254, 2048
-BINS = 16
-_CLEAR, _END = 256, 257
+SIDE, FRAME, DELAY, GROUP_BYTES, MOST_PIXELS = 24, 576, 10, 4 << 20, 1 << 24
+#: Frames (of FRAME pixels, or as many larger or smaller ones) that are expanded together.
+TOGETHER = 1024
+#: Levels of red, green and blue that a colour histogram tells apart.
+LEVELS = 4
 
 
 @dataclass
@@ -40,43 +45,34 @@ class Frame:
     palette: np.ndarray
     code_size: int
     data: bytes
-
-
-def _schedule(n: int) -> np.ndarray:
-    """Codes of n literals: -1 stands for the next literal, a table is cleared before codes grow to ten bits."""
-    codes = []
-    for at in range(0, n, LITERALS):
-        codes += [_CLEAR, *[-1] * min(LITERALS, n - at)]
-    return np.array([*codes, _END])
-
-
-def _pack9(codes: np.ndarray) -> np.ndarray:
-    """Rows of nine-bit codes, lowest bits first, as bytes."""
-    rows, n = codes.shape
-    padded = np.zeros((rows, -(-n // 8) * 8), np.uint64)
-    padded[:, :n] = codes
-    groups = padded.reshape(rows, -1, 8)
-    low = np.zeros(groups.shape[:2], np.uint64)
-    for k in range(8):
-        low |= groups[:, :, k] << np.uint64(9 * k)
-    out = np.empty((*groups.shape[:2], 9), np.uint8)
-    out[:, :, :8] = low[:, :, None].view(np.uint8)
-    out[:, :, 8] = groups[:, :, 7] >> np.uint64(1)
-    return out.reshape(rows, -1)[:, : -(-n * 9 // 8)]
-
-
-def _unpack9(data: np.ndarray, n: int) -> np.ndarray:
-    rows, size = data.shape
-    groups = -(-n // 8)
-    padded = np.zeros((rows, groups * 9), np.uint8)
-    padded[:, :size] = data[:, : groups * 9]
-    padded = padded.reshape(rows, groups, 9)
-    low = np.ascontiguousarray(padded[:, :, :8]).view("<u8")[:, :, 0]
-    out = np.empty((rows, groups, 8), np.uint16)
-    for k in range(7):
-        out[:, :, k] = (low >> np.uint64(9 * k)) & np.uint64(511)
-    out[:, :, 7] = (low >> np.uint64(63)).astype(np.uint16) | (padded[:, :, 8].astype(np.uint16) << 1)
-    return out.reshape(rows, -1)[:, :n]
+    indices: np.ndarray | None = None
+
+
+def lzw_encode(pixels: bytes) -> bytes:
+    """8-bit samples, at most 3837 of them, as a code stream that never fills its table: clear, growing codes, end."""
+    codes, following, table = [256], 258, {}
+    get, now = table.get, pixels[0]
+    for value in pixels[1:]:
+        pair = now << 8 | value
+        code = get(pair)
+        if code is None:
+            codes.append(now)
+            table[pair] = following
+            following += 1
+            now = value
+        else:
+            now = code
+    codes += (now, 257)
+    # after n codes behind the clear the reader's table holds 257 + n, so the code that follows has as many bits as that number
+    held = bits = at = 0
+    for width, stop in ((9, 256), (10, 768), (11, 1792), (12, len(codes))):
+        for code in codes[at:stop]:
+            held |= code << bits
+            bits += width
+        at = min(stop, len(codes))
+        if at == len(codes):
+            break
+    return held.to_bytes(-(-bits // 8), "little")
 
 
 def encode_samples(samples: bytes) -> bytes:
@@ -85,16 +81,13 @@ def encode_samples(samples: bytes) -> bytes:
     grey = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
     out = [b"GIF89a" + side + side + b"\xf7\x00\x00" + grey]
     head = b"\x21\xf9\x04\x04" + DELAY.to_bytes(2, "little") + b"\x00\x00\x2c\x00\x00\x00\x00" + side + side + b"\x00\x08"
-    schedule = _schedule(FRAME)
-    for at in range(0, len(samples), FRAME * GROUP):
-        pixels = np.frombuffer(samples, np.uint8, min(FRAME * GROUP, len(samples) - at), at).reshape(-1, FRAME)
-        codes = np.tile(schedule, (len(pixels), 1))
-        codes[:, schedule == -1] = pixels
-        packed, parts = _pack9(codes), [np.tile(np.frombuffer(head, np.uint8), (len(pixels), 1))]
-        for start in range(0, packed.shape[1], 255):
-            block = packed[:, start : start + 255]
-            parts += [np.full((len(pixels), 1), block.shape[1], np.uint8), block]
-        out.append(np.hstack([*parts, np.zeros((len(pixels), 1), np.uint8)]).tobytes())
+    for at in range(0, len(samples), FRAME):
+        stream = lzw_encode(samples[at : at + FRAME])
+        out.append(head)
+        for k in range(0, len(stream), 255):
+            block = stream[k : k + 255]
+            out += (bytes((len(block),)), block)
+        out.append(b"\x00")
     return b"".join([*out, b"\x3b"])
 
 
@@ -107,10 +100,14 @@ def _palette(data: bytes, at: int, flags: int) -> tuple[np.ndarray, int]:
     return table, at + size
 
 
+class NotAGif(ValueError):
+    """Media without frames: other bytes, or a canvas of no or too many pixels."""
+
+
 def parse(data: bytes) -> tuple[int, int, list[Frame]]:
     """Width, height and frames, their code streams still packed. A stream that breaks off ends with its last whole frame."""
-    if data[:6] not in (b"GIF87a", b"GIF89a"):
-        raise ValueError("not a GIF")
+    if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
+        raise NotAGif("not a GIF")
     width, height = int.from_bytes(data[6:8], "little"), int.from_bytes(data[8:10], "little")
     shared, at = np.zeros((256, 3), np.uint8), 13
     if data[10] & 0x80:
@@ -180,40 +177,108 @@ def lzw(data: bytes, code_size: int, n: int) -> bytes:
     return b"".join(out)[:n]
 
 
-def _indices(frames: list[Frame]) -> list[np.ndarray]:
-    """Each frame's indices. Frames of one shape whose streams follow the first one's plan of clears and literals go as a matrix."""
-    out: list[np.ndarray | None] = [None] * len(frames)
-    shape = lambda f: (len(f.data), f.code_size, f.width * f.height)
-    if frames and frames[0].code_size == 8:
-        group = [k for k, f in enumerate(frames) if shape(f) == shape(frames[0])]
-        size, _, n = shape(frames[0])
-        codes = _unpack9(np.frombuffer(b"".join(frames[k].data for k in group), np.uint8).reshape(len(group), size), size * 8 // 9)
-        plan = codes[0]
-        ends = np.flatnonzero(plan == _END)
-        plan = plan[: ends[0] + 1] if len(ends) else plan[:0]
-        clears = np.flatnonzero(plan == _CLEAR)
-        literal = plan < _CLEAR
-        if literal.sum() == n and len(clears) and clears[0] == 0 and np.diff([*clears, len(plan)]).max() <= LITERALS + 2:
-            codes = codes[:, : len(plan)]
-            same = (codes[:, literal] < _CLEAR).all(axis=1) & (codes[:, ~literal] == plan[~literal]).all(axis=1)
-            pixels = codes[:, literal].astype(np.uint8)
-            for k, row, ok in zip(group, pixels, same, strict=True):
-                if ok:
-                    out[k] = row
-    for k, f in enumerate(frames):
-        if out[k] is None:
-            got = np.frombuffer(lzw(f.data, f.code_size, f.width * f.height), np.uint8)
-            out[k] = np.pad(got, (0, f.width * f.height - len(got)))
-    return out
+def _widths(code_size: int, n: int) -> np.ndarray:
+    """Bits of each of n codes that follow a clear: the k-th is read with a table of 2 ** code_size + 1 + k entries, but the first."""
+    entries = (1 << code_size) + 1 + np.arange(n)
+    entries[:1] += 1
+    return np.minimum(np.maximum(np.ceil(np.log2(entries + 1)).astype(np.int64), code_size + 1), 12)
+
+
+def lzw_together(streams: list[bytes], code_size: int, n: int) -> list[np.ndarray | None]:
+    """n indices of each stream that begins with a clear, has no other, and yields n at least; None for others."""
+    clear, rows, most = 1 << code_size, len(streams), n + 2
+    size = max(map(len, streams))
+    first = code_size + 1
+    starts = first + np.concatenate([[0], np.cumsum(_widths(code_size, most))])
+    most = min(most, int(np.searchsorted(starts, size * 8, "right")) - 1)
+    if most < 1 or not n:
+        return [None] * rows
+    data = np.zeros((rows, size + 8), np.uint8)
+    lengths = np.array([len(x) for x in streams])
+    data[np.arange(size + 8) < lengths[:, None]] = np.frombuffer(b"".join(streams), np.uint8)
+
+    def read(offsets: np.ndarray, widths: np.ndarray) -> np.ndarray:
+        at, shift = offsets >> 3, (offsets & 7).astype(np.uint32)
+        three = data[:, at].astype(np.uint32) | data[:, at + 1].astype(np.uint32) << np.uint32(8) | data[:, at + 2].astype(np.uint32) << np.uint32(16)
+        return (three >> shift & ((1 << widths) - 1).astype(np.uint32)).astype(np.int64)
+
+    begins = read(np.zeros(1, np.int64), np.array([first]))[:, 0] == clear
+    codes = read(starts[:most], _widths(code_size, most))
+    ended = codes == clear + 1
+    stop = np.where(ended.any(axis=1), ended.argmax(axis=1), most)
+    stop = np.minimum(stop, np.maximum(np.searchsorted(starts, lengths * 8, "right") - 1, 0))  # whole codes within each stream
+    most = max(1, int(stop.max()))
+    codes = codes[:, :most]
+    number = np.arange(most)
+    used = number < stop[:, None]
+    # entry clear + 2 + k is what code k says and the first letter of code k + 1; a code may name entries of earlier codes only
+    made = codes - clear - 2
+    good = begins & ((codes < clear) | (made >= 0) & (made < number) | ~used).all(axis=1)
+    made = np.where(used & (made >= 0) & (made < number), made, -1)
+    said = np.ones((rows, most), np.int64)
+    every = np.arange(rows)
+    for k in range(1, most):
+        said[:, k] = np.where(made[:, k] >= 0, said[every, made[:, k]] + 1, 1)
+    said[~used] = 0
+    ends = np.cumsum(said, axis=1)
+    good &= ends[:, -1] >= n
+    # each index of the output: which code says it, and where from; a letter of its own points to itself
+    width = int(ends[:, -1].max())
+    total = ends[:, -1]
+    owner = np.repeat(np.tile(number, rows), said.ravel())
+    row = np.repeat(every, total)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(total) - total, total)
+    begin = ends - said
+    from_code = made[row, owner]
+    origin = np.where(from_code >= 0, begin[row, np.maximum(from_code, 0)] + place - begin[row, owner], place)
+    pointer = (origin + row * width).astype(np.int64)
+    letters = np.zeros((rows, width), np.uint8)
+    letters[row, place] = np.where(codes[row, owner] < clear, codes[row, owner], 0).astype(np.uint8)
+    flat = np.arange(rows * width)
+    flat[place + row * width] = pointer
+    while True:
+        further = flat[flat]
+        if (further == flat).all():
+            break
+        flat = further
+    shown = letters.ravel()[flat].reshape(rows, width)[:, :n]
+    return [shown[k] if ok else None for k, ok in enumerate(good)]
+
+
+def expand(frames: list[Frame]) -> None:
+    """Fills in frames' indices; those of one size and code size are expanded together, TOGETHER at a time."""
+    shapes: dict[tuple[int, int], list[Frame]] = {}
+    for f in frames:
+        if f.indices is None and 2 <= f.code_size <= 8 and 0 < f.width * f.height <= 1 << 14:
+            shapes.setdefault((f.code_size, f.width * f.height), []).append(f)
+    for (code_size, n), group in shapes.items():
+        size = max(1, TOGETHER * FRAME // n)
+        for at in range(0, len(group), size):
+            part = group[at : at + size]
+            for f, row in zip(part, lzw_together([f.data for f in part], code_size, n), strict=True):
+                f.indices = row
+    for f in frames:
+        if f.indices is None:
+            n = f.width * f.height
+            got = np.frombuffer(lzw(f.data, f.code_size, n), np.uint8) if 1 <= f.code_size <= 8 else np.zeros(0, np.uint8)
+            f.indices = np.pad(got, (0, n - len(got)))
+
+
+def checked(data: bytes) -> tuple[int, int, list[Frame]]:
+    """parse, for a canvas that can be shown; image blocks larger than any canvas are left out."""
+    width, height, frames = parse(data)
+    if not 0 < width * height <= MOST_PIXELS:
+        raise NotAGif(f"a canvas of {width} x {height}")
+    return width, height, [f for f in frames if f.width * f.height <= MOST_PIXELS]
 
 
-def decode(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def show(width: int, height: int, frames: list[Frame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Groups of (delays in hundredths of a second, full-canvas RGB frames)."""
-    width, height, frames = parse(data)
-    canvas = np.zeros((height, width, 3), np.uint8)
-    for at in range(0, len(frames), GROUP):
-        group = frames[at : at + GROUP]
-        delays, indices = np.array([f.delay for f in group]), _indices(group)
+    canvas, size = np.zeros((height, width, 3), np.uint8), max(1, GROUP_BYTES // (3 * width * height))
+    for at in range(0, len(frames), size):
+        group = frames[at : at + size]
+        expand(group)
+        delays, indices = np.array([f.delay for f in group]), [f.indices for f in group]
         if all((f.left, f.top, f.width, f.height) == (0, 0, width, height) and not f.interlaced and f.transparent is None and f.disposal < 2 and f.palette is group[0].palette for f in group):
             shown = group[0].palette[np.stack(indices)].reshape(-1, height, width, 3)
             canvas = shown[-1].copy()
@@ -222,7 +287,7 @@ def decode(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for k, (f, flat) in enumerate(zip(group, indices, strict=True)):
                 before = canvas.copy() if f.disposal == 3 else None
                 rows = flat.reshape(f.height, f.width)
-                if f.interlaced:
+                if f.interlaced and f.height:
                     order = [y for first, by in ((0, 8), (4, 8), (2, 4), (1, 2)) for y in range(first, f.height, by)]
                     rows = rows[np.argsort(order)]
                 part = canvas[f.top : f.top + f.height, f.left : f.left + f.width]
@@ -234,16 +299,62 @@ def decode(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                     part[:] = 0
                 elif f.disposal == 3:
                     canvas = before
+        for f in group:
+            f.indices = None
         yield delays, shown
 
 
+def decode(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """show, from a GIF's bytes."""
+    yield from show(*checked(data))
+
+
 def histograms(frames: np.ndarray) -> np.ndarray:
-    """Counts of BINS levels of brightness for each frame."""
-    n = len(frames)
-    level = frames.reshape(n, -1, 3)
-    # ITU-R BT.601 weights in 1/256
-    luma = (level[:, :, 0].astype(np.uint16) * 77 + level[:, :, 1].astype(np.uint16) * 150 + level[:, :, 2].astype(np.uint16) * 29) >> 12
-    return np.bincount((luma + (np.arange(n) * BINS)[:, None]).ravel(), minlength=n * BINS).reshape(n, BINS)
+    """For each frame, how many pixels have each of LEVELS ** 3 colours: LEVELS of red, then green, then blue."""
+    n, bins = len(frames), LEVELS**3
+    level = frames.reshape(n, -1, 3).astype(np.int64) * LEVELS >> 8
+    colour = (level[:, :, 0] * LEVELS + level[:, :, 1]) * LEVELS + level[:, :, 2]
+    return np.bincount((colour + (np.arange(n) * bins)[:, None]).ravel(), minlength=n * bins).reshape(n, bins)
+
+
+def frames_of(media: list[bytes | None]) -> Iterator[tuple[str, Iterator[tuple[np.ndarray, np.ndarray]]]]:
+    """For each of some media (status, groups of frames): the status is "ok", "empty", or why there are none.
+
+    Frames of several small media are expanded together; those of one that has more than TOGETHER of them are expanded as it is shown.
+    """
+    held: list[tuple[str, tuple[int, int, list[Frame]] | None]] = []
+    waiting: list[Frame] = []
+
+    def shown() -> Iterator[tuple[str, Iterator[tuple[np.ndarray, np.ndarray]]]]:
+        expand(waiting)
+        for status, parsed in held:
+            yield status, show(*parsed) if parsed else iter(())
+        held.clear()
+        waiting.clear()
+
+    for data in media:
+        try:
+            parsed = checked(data) if data else None
+            held.append(("empty" if not data else "ok" if parsed[2] else "no frames", parsed))
+        except NotAGif as e:
+            parsed = None
+            held.append((str(e), None))
+        if parsed and len(parsed[2]) <= TOGETHER and sum(f.width * f.height for f in parsed[2]) <= TOGETHER * FRAME:
+            waiting += parsed[2]
+        if len(waiting) >= TOGETHER or len(held) >= TOGETHER:
+            yield from shown()
+    yield from shown()
+
+
+def media_status(media: DataFrame, id: str, column: str = "media") -> DataFrame:
+    """A row per row of media: id, status and n_frames."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(status, sum(len(shown) for _, shown in groups)) for status, groups in frames_of(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["id", "status", "n_frames"])
+
+    return media.select(F.col(id).cast("long").alias("id"), column).mapInArrow(run, "id long, status string, n_frames long").withColumnRenamed("id", id)
 
 
 def decode_frames(media: DataFrame, id: str, column: str = "media") -> DataFrame:
@@ -251,9 +362,9 @@ def decode_frames(media: DataFrame, id: str, column: str = "media") -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, data in zip(batch.column(0), batch.column(1), strict=True):
+            for key, (_, groups) in zip(batch.column(0), frames_of(batch.column(1).to_pylist()), strict=True):
                 no = clock = 0
-                for delays, shown in decode(data.as_py()) if data.as_py() else ():
+                for delays, shown in groups:
                     n, start = len(shown), clock + np.cumsum(delays) - delays
                     clock += int(delays.sum())
                     for at in range(0, n, 256):
@@ -290,14 +401,15 @@ def media_digests(stored: DataFrame, id: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for data in batch.column(2):
-                media, total, tail, digest, counts, frames = data.as_py(), 0, b"", sha256(), np.zeros(BINS, np.int64), 0
-                for _, shown in decode(media):
+            stored = [x or b"" for x in batch.column(2).to_pylist()]
+            for media, (_, groups) in zip(stored, frames_of(stored), strict=True):
+                total, tail, digest, counts, frames = 0, b"", sha256(), np.zeros(LEVELS**3, np.int64), 0
+                for _, shown in groups:
                     samples = np.ascontiguousarray(shown[..., 0]).tobytes()  # grey: every channel holds the sample
                     digest.update(samples)
                     total, tail, frames = total + len(samples), (tail + samples[-32:])[-32:], frames + len(shown)
                     counts += histograms(shown).sum(axis=0)
-                rows.append((total, digest.hexdigest(), crc32(tail), len(media), sha256(media).hexdigest(), f"{frames}:" + ",".join(map(str, counts))))
+                rows.append((total, digest.hexdigest(), crc32(tail), len(media), sha256(media).hexdigest(), f"{frames}:" + ",".join(map(str, counts[counts > 0])) + ":" + ",".join(map(str, np.flatnonzero(counts)))))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c) for c in zip(*rows, strict=True))] if rows else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())], ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
     return stored.select(F.col(id).alias("id"), "n_bytes", "media").mapInArrow(run, "id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string").withColumnRenamed("id", id)

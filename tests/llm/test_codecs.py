@@ -204,6 +204,53 @@ def test_gif_rules():
     assert list(gif_media.decode(gif[:-10]))[0][1].shape[0] == 4
 
 
+def test_lzw_together():
+    """Streams expanded together give what the plain decoder gives, and those it can't do are left to that."""
+    rng = random.Random(6)
+    plain = [bytes(rng.choices(range(top), k=576)) for top in (1, 2, 4, 30, 256) for _ in range(6)] + [(b"abcab" * 200)[:576]]
+    streams = [gif_media.lzw_encode(x) for x in plain]
+    for stream, x in zip(streams, plain, strict=True):
+        assert gif_media.lzw(stream, 8, 576) == x == lzw_codes_back(stream)
+    broken = [s[: len(s) // 2] for s in streams] + [b"", b"\x00" * 40, streams[3][::-1], lzw_codes(b"a" * 100, 8)]
+    got = gif_media.lzw_together(streams + broken, 8, 576)
+    assert [g.tobytes() for g in got[: len(plain)]] == plain
+    for stream, g in zip(broken, got[len(plain) :], strict=True):
+        assert g is None or g.tobytes() == gif_media.lzw(stream, 8, 576)
+    for size in (2, 3, 5):
+        pixels = bytes(rng.choices(range(1 << size), k=300))
+        assert gif_media.lzw_together([lzw_codes(pixels, size)], size, 300)[0].tobytes() == pixels
+
+
+def lzw_codes_back(stream):
+    """Pixels of a stream by the textbook's decoder, over single bits."""
+    bits = "".join(f"{b:08b}"[::-1] for b in stream)
+    table, out, last, at, width = {i: bytes([i]) for i in range(256)}, b"", None, 9, 9
+    while True:
+        code, at = int(bits[at : at + width][::-1], 2), at + width
+        if code == 257:
+            return out
+        said = table[code] if code in table else last + last[:1]
+        if last is not None:
+            table[len(table) + 2] = last + said[:1]
+        width = max(9, (len(table) + 2).bit_length())
+        out, last = out + said, said
+
+
+def test_odd_media(spark):
+    good = gif_media.encode_samples(bytes(1152))
+    large = b"GIF89a" + b"\xff" * 4 + b"\x00" * 3 + b";"
+    outside = b"GIF89a\x02\x00\x02\x00\x81\x00\x00" + bytes(12) + gif_frame(9, 9, 4, 4, [1] * 16) + gif_frame(0, 0, 60000, 60000, [1]) + b"\x3b"
+    size12 = b"GIF89a\x02\x00\x02\x00\x81\x00\x00" + bytes(12) + b"\x2c" + bytes(4) + b"\x02\x00\x02\x00\x00\x0c\x01\x00\x00\x3b"
+    rows = [(1, good), (2, None), (3, b""), (4, b"GIF89a"), (5, b"no"), (6, b"GIF89a" + bytes(7) + b";"), (7, large), (8, good[:-20]), (9, outside), (10, size12), (1, good)]
+    df = spark.createDataFrame([(k, bytearray(m) if m is not None else None) for k, m in rows], "doc_id long, media binary").repartition(2)
+    status = sorted((r.doc_id, r.status, r.n_frames) for r in gif_media.media_status(df, "doc_id").collect())
+    assert status == [(1, "ok", 2), (1, "ok", 2), (2, "empty", 0), (3, "empty", 0), (4, "not a GIF", 0), (5, "not a GIF", 0), (6, "a canvas of 0 x 0", 0), (7, "a canvas of 65535 x 65535", 0), (8, "ok", 1), (9, "ok", 1), (10, "ok", 1)]
+    assert gif_media.decode_frames(df, "doc_id").count() == 7 and gif_media.decode_frames(df.limit(0), "doc_id").count() == 0
+    red, green = np.zeros((1, 2, 2, 3), np.uint8), np.zeros((1, 2, 2, 3), np.uint8)
+    red[..., 0], green[..., 1] = 128, 65
+    assert gif_media.histograms(red)[0].nonzero()[0].tolist() == [32] and gif_media.histograms(green)[0].nonzero()[0].tolist() == [4]
+
+
 def test_chat(spark):
     rng = random.Random(2)
     bits = ["\\", "### ", "</turn>", ": ", "a", "\n", "#", "</turn", ":", " ", "assistant", "é🙂"]
