@@ -1,7 +1,10 @@
 """Tokens, packing, SentencePiece, GIF, chat and HTML against plain versions."""
 
 import random
+import re
+import time
 from hashlib import sha256
+from html.parser import HTMLParser
 from zlib import crc32
 
 import numpy as np
@@ -277,11 +280,61 @@ def test_chat(spark):
     ("<pre>  k\n l</pre>", "  k\n l"), ("<dl><dt>T<dd>D<dt>U</dl>", "T\n  D\nU"),
     ("a</p></div>b<!-- no --><i>c", "abc"), ("<p>a<table><tr><td>1</td></tr></table>b", "a\n\n1\n\nb"),
     ("<table><tr><td><table><tr><td>i<td>j</table></td><td>k</td></tr></table>", "i | j | k"),
+    ("<table><tr><td colspan=2>wide<td>c<tr><td>a<td>b b<td>d</table>", "wide    | c\na | b b | d"),
+    ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes</b>no</div>", "yes"),
+    ("<details><summary>S</summary>no</details><details open><summary>T</summary>yes</details><dialog>no</dialog><dialog open>d</dialog>", "S\nT\nyes\nd"),
+    ('<a href="x>hello</a>', "hello"), ("a <b", "a <b"), ("1 < 2 <3 <", "1 < 2 <3 <"), ("<svg><title>no</title><text>label</text></svg>", "label"),
+    ("<input type=submit value='Go on'><input value=no><input type=hidden value=no>", "Go on"), ("<ol start=x><li>a</ol>", "1. a"),
+    ("<script>no", ""), ("<!-- no", ""), ("<p>a<script>if (a<b) '</p>'</SCRIPT >b", "ab"), ("<textarea> k\n</textarea>", " k"),
 ])
 def test_html(html, text):
     assert html_text.html_to_text(html) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<a '" * 250_000, "<a \"" * 250_001 + ">", "<p><button>" + "<div>" * 200_000 + "x", "<b><table><td>" + "<i>" * 600 + "</b>" * 240_000,
+    "<i>a" * 250_000, "<ul><li>x" * 110_000, "<table>" + "<tr><td>a" * 60_000 + "<tr><td>" + "b" * 500_000, "<table><tr>" + "<td>" * 120_000 + "<br>x" * 100_000,
+    "<table><tr><td>" + "y" * 80 + "<td>" * 2 + "<table><tr><td>z<td>" * 9_000 + "<br>x" * 100_000, "<" * 1_000_000, "&amp" * 200_000, "<!--" * 250_000, "<blockquote>a" * 80_000,
+], ids=range(14))
+def test_hostile_html(page):
+    """A megabyte of trouble takes about as long as a megabyte of text, and its output stays in proportion."""
+    began = time.process_time()
+    text = html_text.html_to_text(page)
+    assert time.process_time() - began < 30 and len(text) < 120 * len(page)
+
+
+class PlainText(HTMLParser):
+    """The words that a page shows, in order, by the standard library's tokenizer."""
+
+    def __init__(self):
+        super().__init__()
+        self.words, self.unseen = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in html_text.VOID and (self.unseen or tag in html_text.UNSEEN or "hidden" in dict(attrs) or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", dict(attrs).get("style") or "")):
+            self.unseen.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag in self.unseen:
+            while self.unseen.pop() != tag:
+                pass
+
+    def handle_data(self, data):
+        if not self.unseen:
+            self.words += data.split()
+
+
+def test_html_shows_what_a_plain_reader_finds(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    assert len(pages) > 10
+    for r in pages:
+        plain = PlainText()
+        plain.feed(r.html or "")
+        plain.close()
+        shown = re.sub(r"(?m)^( *(?:\d+\.|-) )+|^---$", "", html_text.html_to_text(r.html).replace(" | ", " ")).replace("|", "")
+        assert "".join(shown.split()) == "".join(plain.words).replace("|", ""), r.page_id
+
+
 def test_html_deep_and_table(spark):
     assert html_text.html_to_text("<div>" * 20000 + "x") == "x"
     pages = spark.createDataFrame([(1, "<p>a"), (1, "<p>a"), (2, None), (None, "")], "page_id long, html string")
