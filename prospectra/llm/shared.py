@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder's URI below the cluster's ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, a single machine) a temporary folder is set instead.
+    Only where none is named and driver and executors are one process (tests, a single machine) a temporary folder is set instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             base = current.get()
+        elif not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         else:
             base = "file://" + tempfile.mkdtemp(prefix="prospectra-")
             spark.sparkContext.setCheckpointDir(base)

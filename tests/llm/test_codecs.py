@@ -96,7 +96,8 @@ def test_bounded_packer_keeps_every_id():
 def test_token_counts(spark, docs, block):
     own = ByteBpe(BPE, special_as_text=True)
     folder = shared_dir(spark, "test-tokens")
-    files = token_counts.write_token_files(docs, BPE, 50256, folder, file_bytes=4000).cache() if block > 3 else token_counts.write_token_files(docs.filter("length(text) < 60"), BPE, 50256, folder).cache()
+    written = token_counts.write_token_files(docs, BPE, 50256, folder, file_bytes=4000) if block > 3 else token_counts.write_token_files(docs.filter("length(text) < 60"), BPE, 50256, folder)
+    files = token_counts.files_of(written.cache())
     counted = token_counts.count_tokens(files, folder, 50256, block_tokens=block).collect()
     source = docs if block > 3 else docs.filter("length(text) < 60")
     assert sorted(r.n_tokens for r in counted) == sorted(len(own.encode(r.text or "")) // 4 for r in source.collect())
@@ -108,6 +109,14 @@ def test_token_counts(spark, docs, block):
             at += r.n_tokens + 1
 
 
+def test_counts_of_documents(spark, docs):
+    own = ByteBpe(BPE, special_as_text=True)
+    key = lambda d, n: (d is not None, d or 0, n)
+    got = sorted((key(*r) for r in token_counts.document_token_counts(docs, BPE, 50256).collect()))
+    assert got == sorted(key(r.doc_id, len(own.encode(r.text or "")) // 4) for r in docs.collect())
+    assert token_counts.document_token_counts(docs.limit(0), BPE, 50256).count() == 0
+
+
 def test_token_file_without_a_last_separator(spark, tmp_path):
     np.array([5, 9, 0, 0, 7, 7, 7], "<u2").tofile(tmp_path / "a.bin")
     np.array([], "<u2").tofile(tmp_path / "b.bin")
