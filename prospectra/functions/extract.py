@@ -9,7 +9,10 @@ from . import rules as R
 from . import text as T
 
 _WORD = r"\p{L}\p{N}_"
-EMAIL = rf"(?<![{_WORD}.+-])[{R.EMAIL_CLASS}]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?![{_WORD}.-])"
+#: An address begins behind a character that isn't one of these. In a run of its characters only the first such place is tried, as
+#: all later ones would end like it; the address is group 1.
+_BEHIND = rf"{_WORD}.+-"
+EMAIL = rf"(?<![{R.EMAIL_CLASS}])(?:(?<![{_BEHIND}])|[[{R.EMAIL_CLASS}]&&[{_BEHIND}]]*+[[{R.EMAIL_CLASS}]&&[^{_BEHIND}]])([{R.EMAIL_CLASS}]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+(?![{_WORD}.-]))"
 PHONE = rf"(?U)(?<![{_WORD}])(?:\+?\d{{1,3}}[\s().-]*)?(?:\(?\d{{2,5}}\)?)[\s.-]*\d{{3,5}}[\s.-]*\d{{3,5}}(?![{_WORD}])"
 
 
@@ -19,7 +22,7 @@ def regex_title(html) -> Column:
 
 
 def emails(text) -> Column:
-    found = F.transform(F.regexp_extract_all(F.coalesce(T.column(text), F.lit("")), F.lit(EMAIL), F.lit(0)), F.lower)
+    found = F.transform(F.regexp_extract_all(F.coalesce(T.column(text), F.lit("")), F.lit(EMAIL), F.lit(1)), F.lower)
     real = F.filter(found, lambda e: ~F.substring_index(e, "@", -1).isin(*R.PLACEHOLDER_DOMAINS))
     return F.slice(F.array_distinct(real), 1, R.MAX_EMAILS)
 

@@ -9,6 +9,7 @@ from ..functions import predicates as P
 from ..functions import rules as R
 from ..functions import text as T
 from ..functions import urls as U
+from ..sources.crawl import distinct_snapshot
 from .keyed import best_of, first_of
 
 
@@ -41,9 +42,9 @@ def _judged(x: DataFrame, url: str, anchor: str | Column, home: str) -> DataFram
     return x.withColumn("page_type", kind).withColumn("score", C.page_score(F.col("page_type")))
 
 
-def probed_candidates(homes: DataFrame, crawl: DataFrame) -> DataFrame:
+def probed_candidates(homes: DataFrame, crawl: DataFrame, distinct: bool = False) -> DataFrame:
     """Common paths that answered on the company's own host; what the address doesn't say, the path's expected type does."""
-    answered = crawl.filter("error IS NULL AND status < 400").select("url_key", "final_url")
+    answered = (crawl if distinct else distinct_snapshot(crawl)).filter("error IS NULL AND status < 400").select("url_key", "final_url")
     x = probes(homes).join(answered, F.col("candidate") == F.col("url_key")).drop("url_key")
     x = x.withColumn("url", F.coalesce(F.nullif(U.crawl_url("final_url"), F.lit("")), F.col("candidate"))).filter(P.same_domain("url", "homepage") & ~P.excluded_path("url"))
     x = _judged(x.withColumn("_anchor", F.translate("path", "-", " ")), "url", "_anchor", "homepage")
@@ -72,8 +73,8 @@ def sitemap_candidates(urls: DataFrame, homepage_read: bool = True) -> DataFrame
 
 
 def discover(*sets: DataFrame) -> DataFrame:
-    """Candidate sets in their order of precedence as each company's ranked pages."""
-    ordered = [s.withColumn("seq", F.col("seq") + (n << 40)) for n, s in enumerate(sets)]
+    """Candidate sets in their order of precedence as each company's ranked pages. Ordinals within a set are below 2 ** 56."""
+    ordered = [s.withColumn("seq", F.col("seq") + (n << 56)) for n, s in enumerate(sets)]
     union = ordered[0]
     for s in ordered[1:]:
         union = union.unionByName(s)

@@ -68,8 +68,8 @@ def contact_links(nodes: DataFrame, bases: DataFrame) -> DataFrame:
     return _first_distinct(x, F.col("value"), R.MAX_CONTACT_LINKS)
 
 
-def page_contacts(pages: DataFrame, nodes: DataFrame) -> DataFrame:
-    """A contact row per fetched page (page_id, company_name, company_domain, page_url, page_type, score, final_url, status, content_type, error)."""
+def page_contacts(pages: DataFrame, nodes: DataFrame, also: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """A contact row, with the columns of pages named by also, per fetched page (page_id, company_name, company_domain, page_url, page_type, score, final_url, status, content_type, error)."""
     failed = F.col("status").isNull() | F.col("error").isNotNull() | (F.col("status") >= 400)
     html = F.contains(F.lower(F.coalesce("content_type", F.lit(""))), F.lit("html"))
     trouble = F.when(F.coalesce("page_url", F.lit("")) == "", "Page URL is empty").when(failed, "Page request failed").when(~html, "Page did not return HTML").otherwise("")
@@ -86,7 +86,7 @@ def page_contacts(pages: DataFrame, nodes: DataFrame) -> DataFrame:
         "page_id", "company_name", "company_domain", "page_url", "page_type", "score", F.when(ok, F.coalesce("page_title", F.lit(""))).otherwise("").alias("page_title"),
         F.when(F.col("_failed"), "").otherwise(F.col("final_url")).alias("final_url"), F.when(F.col("_failed"), "").otherwise(F.col("status").cast("string")).alias("status_code"), cell(X.emails("page_text")).alias("emails"),
         cell(F.col("mailto_emails")).alias("mailto_emails"), cell(X.phones("page_text")).alias("phone_numbers"), cell(F.col("tel_numbers")).alias("tel_numbers"),
-        F.when(ok & P.contact_page("page_url", "page_type"), "YES").otherwise("NO").alias("contact_page"), cell(F.col("contact_links")).alias("contact_links"), "page_text", "error",
+        F.when(ok & P.contact_page("page_url", "page_type"), "YES").otherwise("NO").alias("contact_page"), cell(F.col("contact_links")).alias("contact_links"), "page_text", "error", *also,
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import classify as C
@@ -42,10 +44,16 @@ def container_roles(nodes: DataFrame) -> DataFrame:
 
 
 def _candidates(found: DataFrame, pages: DataFrame, method: str, confidence: str) -> DataFrame:
-    """found: page_id, node_id, name, role. pages: page_id, company_name, company_domain, source_url."""
+    """found: page_id, node_id, name, role and perhaps place within the element. pages: page_id, company_name, company_domain, source_url, and
+    page_no where pages have an order of their own.
+    """
     x = found.join(pages, "page_id").withColumn("person_name", T.person_name("name")).filter(P.likely_person_name("person_name"))
     given = F.regexp_replace(T.match_key("company_domain"), r"^www\.", "")
-    place = F.col("page_id") * (1 << 34) + F.lit(METHODS.index(method)).cast("long") * (1 << 30) + F.col("node_id")
+    # page, method, element, place: 38 digits hold them side by side
+    page = F.col("page_no" if "page_no" in pages.columns else "page_id").cast("decimal(19,0)")
+    within = F.col("node_id").cast("long") * (1 << 31) + (F.col("place") if "place" in found.columns else F.lit(0))
+    place = page * F.lit(Decimal(10**19)).cast("decimal(20,0)") + (F.lit(METHODS.index(method) * 10**18).cast("decimal(20,0)") + within.cast("decimal(20,0)"))
+    place = place.cast("decimal(38,0)")
     return x.select(
         place.alias("seq"), T.clean_text("company_name").alias("company_name"), F.when(given == "", U.host("source_url")).otherwise(given).alias("company_domain"), "person_name",
         T.clean_text("role.designation").alias("designation"), F.col("role.leadership_type").alias("leadership_type"), F.lit(confidence).alias("confidence"), F.lit(method).alias("extraction_method"), "source_url",
@@ -61,7 +69,7 @@ def json_ld_people(nodes: DataFrame, pages: DataFrame) -> DataFrame:
     items = data.select("page_id", "node_id", F.posexplode(F.when(is_list, listed("$")).otherwise(F.concat(F.array("v"), listed('$["@graph"]')))).alias("place", "item"))
     field = lambda name, kind="string": F.try_variant_get("item", f'$["{name}"]', kind)
     kinds = F.coalesce(field("@type", "array<string>"), F.array(field("@type")))
-    people = items.filter(F.exists(kinds, lambda k: F.lower(k) == "person")).select("page_id", (F.col("node_id") * 1024 + F.least("place", F.lit(1023))).alias("node_id"), T.clean_text(field("name")).alias("name"), C.extracted_designation(field("jobTitle")).alias("role"))
+    people = items.filter(F.exists(kinds, lambda k: F.lower(k) == "person")).select("page_id", "node_id", "place", T.clean_text(field("name")).alias("name"), C.extracted_designation(field("jobTitle")).alias("role"))
     return _candidates(people.filter("name <> '' AND role.designation <> ''"), pages, "json_ld", "HIGH")
 
 
