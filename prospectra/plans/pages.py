@@ -1,13 +1,15 @@
-"""Queries over pages' structure. Tree building isn't SQL: these are checked for rows, and in tests against plain Python."""
+"""Queries over pages' structure. Tree building isn't SQL: fragments whose people and links are known stand within the real pages."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions import rules as R
 from ..operators import discovery, pages as O, people
 from ..sources import crawl, dom
+from ..sources.stored import materialised
 from . import fixtures
 
 #: An invented page of every shape the extractors know.
@@ -19,30 +21,66 @@ SITEMAP = """<?xml version="1.0"?><urlset xmlns="http://www.sitemaps.example/0.9
 INDEX = """<sitemapindex><sitemap><loc>https://aldora.example/sitemap.xml</loc></sitemap><sitemap><loc>https://other.example/s.xml</loc></sitemap></sitemapindex>"""
 
 
+#: What the pages below name: the k-th person of a page has one of these names and roles, dealt out by the page's id.
+FIRST = ["Mira", "Anton", "Priya", "Lena", "Jonas", "Samuel", "Dario"]
+LAST = ["Tolvane", "Vale", "Kesh", "Ford", "Perrin", "Odell"]
+ROLES = ["Chief Executive Officer", "Chief Financial Officer", "Chief Technology Officer", "Independent Director", "Chairman", "Managing Director"]
+#: Extra navigation blocks of a page; with those before them, some lie beyond the limit.
+EXTRA = 12
+
+
 def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
-def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dom.dom_nodes(_snapshot(spark, sf_dir))
+def _nodes(pages: DataFrame) -> DataFrame:
+    """Pages' elements, parsed once: every branch of a query reads the written relation."""
+    return materialised(dom.dom_nodes(pages), "dom-nodes")
+
+
+def _pick(values: list[str], n: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (n % len(values) + 1).cast("int"))
+
+
+def _fragment() -> Column:
+    """People, contacts and links in every shape the extractors know, different from page to page."""
+    id = F.col("page_id")
+    div = lambda n: F.floor(id / n)
+    name = lambda k: F.concat(_pick(FIRST, id + k), F.lit(" "), _pick(LAST, div(7) + k))
+    role = lambda k: _pick(ROLES, div(3) + k)
+    several = lambda count, f: F.array_join(F.transform(F.sequence(F.lit(0), count.cast("int")), f), "")
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+    return text(
+        '<script type="application/ld+json">{"@graph": [{"@type": ["Person"], "name": "', name(0), '", "jobTitle": "', role(0), '"}, 7, {"@type": "Organization", "name": "Aldora"}]}</script>',
+        '<script type="application/ld+json">[{"@type": "person", "name": "', name(1), '", "jobTitle": "', role(1), '"}]</script>',
+        "<header>", several(id % 4, lambda i: text('<a href="mailto:Info', i, "@h", id % 100, '.example?x=1">mail</a>')), '<a href="mailto:nobody">none</a>',
+        several(id % 3, lambda i: text('<a href="tel:+1 555 010 ', i + 1000, ';x">call</a>')), '<a href="tel:555">short</a>',
+        several(id % 5 + 17, lambda i: text('<a href="/contact-us/', i + 10, '#form">Write</a>')), '<a href="#top">Top</a></header>',
+        "<main><article><h3>", name(2), "</h3><p>", role(2), '</p></article><div class="Team-Member card"><strong>', name(3), "</strong><span>", role(3), "</span></div>",
+        "<section><h3>", name(4), "</h3><p>", role(4), "</p></section><div><div><p>", role(5), '</p></div><div><a href="/x">', name(5), "</a></div></div></main>",
+        several(F.lit(EXTRA - 1), lambda i: text('<nav><a href="/leadership/n', i + 10, '">Our people</a></nav>')),
+    )
 
 
 def _people_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The invented page under every page's id: as many rows as the table has."""
-    return _snapshot(spark, sf_dir).select("page_id", F.lit("Aldora Works").alias("company_name"), F.concat(F.lit("host"), F.col("page_id") % 100, F.lit(".example")).alias("company_domain"), F.lit("https://www.aldora.example/leadership/").alias("source_url"), F.lit(PEOPLE_HTML).alias("html"))
+    """Every page as it is, with a fragment before its body's end; behind its body's begin where pages break off before that end."""
+    host = F.concat(F.lit("host"), F.col("page_id") % 100, F.lit(".example"))
+    inside = F.replace("html", F.lit("</body>"), F.concat(_fragment(), F.lit("</body>")))
+    html = F.when(F.contains("html", F.lit("</body>")), inside).otherwise(F.replace("html", F.lit("<body>"), F.concat(F.lit("<body>"), _fragment())))
+    return _snapshot(spark, sf_dir).select("page_id", F.lit("Aldora Works").alias("company_name"), host.alias("company_domain"), F.concat(F.lit("https://www."), host, F.lit("/p/"), "page_id").alias("source_url"), html.alias("html"))
 
 
 def page_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = crawl.from_pages(_snapshot(spark, sf_dir)).withColumns({"company_name": F.lit(""), "company_domain": F.lit(""), "page_url": F.col("requested_url"), "page_type": F.lit("other"), "score": F.lit(0)})
-    return O.page_contacts(pages, _nodes(spark, sf_dir))
+    return O.page_contacts(pages, _nodes(_snapshot(spark, sf_dir)))
 
 
 def page_title_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.page_titles(_nodes(spark, sf_dir))
+    return O.page_titles(_nodes(_snapshot(spark, sf_dir)))
 
 
 def visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.page_texts(_nodes(spark, sf_dir))
+    return O.page_texts(_nodes(_snapshot(spark, sf_dir)))
 
 
 def _joined(df: DataFrame) -> DataFrame:
@@ -50,22 +88,22 @@ def _joined(df: DataFrame) -> DataFrame:
 
 
 def mailto_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _joined(O.mailto_emails(dom.dom_nodes(_people_pages(spark, sf_dir))))
+    return _joined(O.mailto_emails(_nodes(_people_pages(spark, sf_dir))))
 
 
 def tel_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _joined(O.tel_numbers(dom.dom_nodes(_people_pages(spark, sf_dir))))
+    return _joined(O.tel_numbers(_nodes(_people_pages(spark, sf_dir))))
 
 
 def contact_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _people_pages(spark, sf_dir)
-    return _joined(O.contact_links(dom.dom_nodes(pages), pages.select("page_id", F.col("source_url").alias("final_url"))))
+    return _joined(O.contact_links(_nodes(pages), pages.select("page_id", F.col("source_url").alias("final_url"))))
 
 
 def homepage_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _people_pages(spark, sf_dir)
-    anchors = O.homepage_anchors(dom.dom_nodes(pages)).join(pages.select("page_id", F.col("page_id").alias("company"), F.lit("https://aldora.example/").alias("homepage")), "page_id")
-    return discovery.discover(discovery.link_candidates(anchors))
+    anchors = O.homepage_anchors(_nodes(pages)).join(pages.select("page_id", F.col("page_id").alias("company"), F.lit("https://aldora.example/").alias("homepage")), "page_id")
+    return discovery.discover(discovery.link_candidates(anchors)).select("company", "url", "page_type", "score", "anchor_text", "place")
 
 
 def _crawl(spark: SparkSession) -> DataFrame:
@@ -82,7 +120,7 @@ def company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, sitemaps and common paths together: each company's ranked pages."""
     pages = _people_pages(spark, sf_dir)
     homes = pages.select(F.col("page_id").alias("company"), F.lit("https://aldora.example/").alias("homepage"), F.col("page_id").alias("seq"))
-    anchors = O.homepage_anchors(dom.dom_nodes(pages)).join(homes.select(F.col("company").alias("page_id"), "company", "homepage"), "page_id")
+    anchors = O.homepage_anchors(_nodes(pages)).join(homes.select(F.col("company").alias("page_id"), "company", "homepage"), "page_id")
     found = discovery.discover(discovery.link_candidates(anchors), discovery.sitemap_candidates(crawl.sitemap_urls(homes.drop("seq"), _crawl(spark))), discovery.probed_candidates(homes, _crawl(spark)))
     return found.select("company", "url", "page_type", "score", "anchor_text", "place")
 
@@ -97,7 +135,7 @@ def check_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _people(method: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages = _people_pages(spark, sf_dir)
-        return method(dom.dom_nodes(pages), pages.drop("html"))
+        return method(_nodes(pages), pages.drop("html")).drop("seq")
 
     return run
 
@@ -122,11 +160,45 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in _FUNCTIONS} | methods
 
 
+_ENTITIES = {"&copy;": "\u00a9", "&middot;": "\u00b7", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": " ", "&#39;": "''", "&amp;": "&"}
+
+
+def _read(html: str) -> str:
+    """Markup's text in SQL: what a parser shows of pages whose tags and comments are all closed."""
+    for entity, character in _ENTITIES.items():
+        html = f"replace({html}, '{entity}', '{character}')"
+    return rf"trim(regexp_replace({html}, '\s+', ' ', 'g'))"
+
+
+def _people_sql(methods: dict[str, tuple[str, list[int]]]) -> str:
+    """The people of _fragment that each method finds, with its confidence."""
+    listed = lambda values: "[" + ", ".join(f"'{v}'" for v in values) + "]"
+    kinds = ["CXO", "CXO", "CXO", "Board", "Board", "Executive Leadership"]
+    found = ", ".join(f"({n}, '{m}', '{c}', {k})" for n, (m, (c, ks)) in enumerate(methods.items()) for k in ks)
+    host = "'host' || (page_id % 100) || '.example'"
+    return f"""SELECT 'Aldora Works' AS company_name, {host} AS company_domain, {listed(FIRST)}[(page_id + k) % {len(FIRST)} + 1] || ' ' || {listed(LAST)}[(page_id // 7 + k) % {len(LAST)} + 1] AS person_name,
+        {listed(ROLES)}[(page_id // 3 + k) % {len(ROLES)} + 1] AS designation, {listed(kinds)}[(page_id // 3 + k) % {len(ROLES)} + 1] AS leadership_type, c AS confidence, m AS extraction_method, 'https://www.' || {host} || '/p/' || page_id AS source_url, page_id, n, k
+        FROM pages, (VALUES {found}) t(n, m, c, k)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Where the answer doesn't depend on the tree: the invented page has fixed links, the pages' titles are plain."""
-    return {
-        "mailto_links": "SELECT page_id, 'Info@Aldora.example' AS found FROM pages",
-        "tel_links": "SELECT page_id, '+1 555 010 0199' AS found FROM pages",
-        "contact_links": "SELECT page_id, 'https://www.aldora.example/contact-us' AS found FROM pages",
+    """What the fragments hold by their making, and the pages' own text by regular expressions."""
+    methods = {"json_ld": ("HIGH", [0, 1]), "semantic_card": ("HIGH", [2, 3]), "sibling_pair": ("HIGH", [2, 3, 4]), "local_parent": ("MEDIUM", [2, 3, 4, 5, 5])}
+    names = {"json_ld": "json_ld_people", "semantic_card": "semantic_cards", "sibling_pair": "sibling_pairs", "local_parent": "local_parent_pairs"}
+    people_sql = {names[m]: f"SELECT * EXCLUDE (page_id, n, k) FROM ({_people_sql({m: v})})" for m, v in methods.items()}
+    best = f"SELECT * EXCLUDE (page_id, n, k) FROM ({_people_sql(methods)}) QUALIFY row_number() OVER (PARTITION BY company_domain, person_name, designation ORDER BY n, page_id, k) = 1"
+    # the header, the main part and the blocks before them count as containers too
+    links = f"""SELECT page_id AS company, 'https://aldora.example/leadership/n' || (i + 10) AS url, 'team' AS page_type, 90 AS score, 'Our people' AS anchor_text FROM pages, range({EXTRA}) t(i)
+        WHERE CASE WHEN contains(html, '</body>') THEN len(regexp_extract_all(html, '<(nav|header|main|footer)[ >]')) ELSE 0 END + 2 + i < {R.MAX_CONTAINERS}"""
+    ranked = "SELECT *, CAST(row_number() OVER (PARTITION BY company ORDER BY score DESC, url) AS INT) AS place FROM"
+    shown = r"regexp_replace(regexp_replace(html, '(?is)<!--.*?-->|<(script|style|noscript|svg|canvas|iframe|template)\b.*?</(script|style|noscript|svg|canvas|iframe|template)>', ' ', 'g'), '<[^>]*>', ' ', 'g')"
+    return people_sql | {
+        "page_people": best,
+        "homepage_links": f"{ranked} ({links})",
+        "mailto_links": "SELECT page_id, string_agg('Info' || i || '@h' || (page_id % 100) || '.example', '; ' ORDER BY i) AS found FROM pages, range(4) t(i) WHERE i <= page_id % 4 GROUP BY page_id",
+        "tel_links": "SELECT page_id, string_agg('+1 555 010 ' || (i + 1000), '; ' ORDER BY i) AS found FROM pages, range(3) t(i) WHERE i <= page_id % 3 GROUP BY page_id",
+        "contact_links": f"SELECT page_id, string_agg('https://www.host' || (page_id % 100) || '.example/contact-us/' || (i + 10), '; ' ORDER BY i) AS found FROM pages, range({R.MAX_CONTACT_LINKS}) t(i) WHERE i <= page_id % 5 + 17 GROUP BY page_id",
+        "page_title_dom": f"SELECT page_id, {_read("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS page_title FROM pages",
+        "visible_text": f"SELECT page_id, left({_read(shown)}, {R.MAX_TEXT}) AS page_text FROM pages",
         "sitemap_urls": "SELECT page_id AS company, u AS url FROM pages, (VALUES ('https://www.aldora.example/leadership'), ('https://aldora.example/board?a=1&b=2'), ('https://aldora.example/leadership')) t(u)",
     }

@@ -206,14 +206,14 @@ def test_windows_and_classes_on_streams(spark, tmp_path):
     assert sorted((r.k, r.n) for r in spark.sql("SELECT k, n FROM counted").collect()) == [(1, 2), (2, 1)]
 
 
-@pytest.mark.parametrize("name", ["validation_status", "contact_index", "page_classify", "company_contacts", "extract_emails"])
+@pytest.mark.parametrize("name", ["validation_status", "contact_index", "page_classify", "company_contacts", "extract_emails", "page_people", "local_parent_pairs", "homepage_links", "contact_links", "visible_text"])
 def test_queries_match_duckdb(spark, name):
     import duckdb
 
     from prospectra.plans import catalogue
 
     sf_dir, con = "/root/testdata/sf0.001", duckdb.connect()
-    for table in {*fixtures.TABLES.values()}:
+    for table in {*fixtures.TABLES.values(), "pages"}:
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     df, want = catalogue.queries()[name](spark, sf_dir), con.sql(catalogue.oracle_sql()[name])
     assert sorted(df.columns) == sorted(want.columns)
