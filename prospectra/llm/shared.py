@@ -1,39 +1,12 @@
-"""What the operators share: the folder all executors see, and fixed texts on how rows are handled."""
+"""What the operators share: the folder all executors see, and how null texts are read."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..sources.stored import materialised, shared_dir
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder's URI below the cluster's ``spark.checkpoint.dir``.
-
-    Only where none is named and driver and executors are one process (tests, a single machine) a temporary folder is set instead.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            base = current.get()
-        elif not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        else:
-            base = "file://" + tempfile.mkdtemp(prefix="prospectra-")
-            spark.sparkContext.setCheckpointDir(base)
-    if "://" not in base and base.startswith("/"):
-        base = f"file://{base}"
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
-def materialised(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a frame to the shared folder and read it again: lineage ends there and no executor's loss undoes it."""
-    spark = df.sparkSession
-    path = shared_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["documents", "materialised", "shared_dir", "text_or_empty"]
 
 
 def text_or_empty(column: str | Column) -> Column:
