@@ -24,9 +24,12 @@ def best_of(df: DataFrame, *score: Column, order: str = "seq", **keys: Column) -
     return _winner(df, keys, lambda row: F.max_by(row, F.struct(*score, -F.col(order))))
 
 
+def candidate_keys() -> dict[str, Column]:
+    return {name: F.lower(F.coalesce(name, F.lit(""))) for name in ("company_domain", "person_name", "designation")}
+
+
 def best_candidates(df: DataFrame) -> DataFrame:
     """Most trusted per domain, person and title: of equal trust the last structured-data record, else the first record."""
     rank = F.when(F.col("confidence") == "HIGH", 3).when(F.col("confidence") == "MEDIUM", 2).when(F.col("confidence") == "LOW", 1).otherwise(0)
     structured = F.coalesce(F.col("extraction_method") == "json_ld", F.lit(False))
-    keys = {name: F.lower(F.coalesce(name, F.lit(""))) for name in ("company_domain", "person_name", "designation")}
-    return _winner(df, keys, lambda row: F.max_by(row, F.struct(rank, structured, F.when(structured, F.col("seq")).otherwise(-F.col("seq")))))
+    return _winner(df, candidate_keys(), lambda row: F.max_by(row, F.struct(rank, structured, F.when(structured, F.col("seq")).otherwise(-F.col("seq")))))

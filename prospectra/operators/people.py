@@ -11,7 +11,7 @@ from ..functions import predicates as P
 from ..functions import rules as R
 from ..functions import text as T
 from ..functions import urls as U
-from .keyed import best_candidates
+from .keyed import best_candidates, candidate_keys, first_of
 
 METHODS = ["json_ld", "semantic_card", "sibling_pair", "local_parent"]
 
@@ -105,6 +105,13 @@ def all_candidates(nodes: DataFrame, pages: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-def page_people(nodes: DataFrame, pages: DataFrame) -> DataFrame:
-    """Each domain's person and title once, the most trusted method's."""
-    return best_candidates(all_candidates(nodes, pages))
+def page_people(nodes: DataFrame, pages: DataFrame, by_method: bool = False) -> DataFrame:
+    """Each domain's person and title once, the most trusted method's.
+
+    Of equal trust: as page follows page, and the last structured-data record; by_method: as METHODS follow each other, and the first page.
+    """
+    found = all_candidates(nodes, pages)
+    if not by_method:
+        return best_candidates(found)
+    rank = F.array_position(F.array(*map(F.lit, METHODS)), F.col("extraction_method"))
+    return first_of(found.withColumn("_order", F.struct(rank.alias("method"), "seq")), order="_order", **candidate_keys()).drop("_order")

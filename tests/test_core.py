@@ -247,3 +247,13 @@ def test_phones_beside_marks_and_other_digits(spark):
     texts = ["12345678(87654321 x", "12345678, 87654321", "٠١٢ 5550100199", "47796589\xa055653049", "1.2345678+2345678)3456789", "ends 555 010 0199\n"]
     got, want = _against_duckdb(spark, "extract_phones", {"documents": spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")})
     assert got == want and values(spark, texts[:2], F.array_join(X.phones("a"), ",")) == ["12345678", "12345678,87654321"]
+
+
+def _pages(spark, *html):
+    return {"pages": spark.createDataFrame([(100 * n, f"https://h.example/{n}", h) for n, h in html], "page_id long, url string, html string")}
+
+
+def test_people_by_method_then_page(spark):
+    """Pages of one host whose people and roles recur, by other methods and by the same."""
+    got, want = _against_duckdb(spark, "page_people", _pages(spark, *((n, "<html><body></body></html>") for n in range(1, 26))))
+    assert got == want
