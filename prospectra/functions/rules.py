@@ -65,7 +65,7 @@ LEADERSHIP_PAGE_TYPES = ["leadership", "management"]
 SKIPPED_LINKS = ["javascript:", "mailto:", "tel:", "sms:", "data:", "#"]
 SITEMAP_PATHS = ["/sitemap.xml", "/sitemap_index.xml", "/sitemap-index.xml"]
 MAX_URL_LENGTH, MIN_PAGE_SCORE, MAX_PAGES, MAX_CONTAINERS, MAX_ANCHORS, MAX_LINKS, MAX_CHILD_SITEMAPS = 2048, 55, 30, 12, 300, 600, 10
-MAX_TEXT, MAX_EMAILS, MAX_PHONES, MAX_CONTACT_LINKS = 20000, 20, 20, 20
+MAX_EMAILS, MAX_PHONES, MAX_CONTACT_LINKS = 20, 20, 20
 
 # ---- fixed values: people ------------------------------------------------------------------------------------------
 ROLES = [

@@ -34,7 +34,7 @@ def page_titles(nodes: DataFrame) -> DataFrame:
     return titles.groupBy("page_id").agg(F.min_by(T.clean_text("text"), "node_id").alias("page_title"))
 
 
-def page_texts(nodes: DataFrame, dropped: list[str] = DROPPED, most: int | None = R.MAX_TEXT) -> DataFrame:
+def page_texts(nodes: DataFrame, dropped: list[str] = DROPPED) -> DataFrame:
     """(page_id, page_text): all shown text of a page in document order.
 
     Pieces come from whole elements: the text of an element without dropped content is taken as it is, others are taken apart.
@@ -45,8 +45,7 @@ def page_texts(nodes: DataFrame, dropped: list[str] = DROPPED, most: int | None
     parents = shown(nodes, dropped).join(inner, ["page_id", "node_id"], "left_semi")
     top = roots.join(parents.select("page_id", F.col("node_id").alias("parent_id"), F.lit(True).alias("cut")), ["page_id", "parent_id"], "left").filter("cut OR parent_id IS NULL")
     pieces = top.select("page_id", "node_id", "text").union(parents.select("page_id", "node_id", F.col("own_text").alias("text"))).filter("text <> ''")
-    joined = pieces.groupBy("page_id").agg(T.clean_text(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node_id", "text"))), lambda x: x["text"]), " ")).alias("page_text"))
-    return joined if most is None else joined.withColumn("page_text", F.substring("page_text", 1, most))
+    return pieces.groupBy("page_id").agg(T.clean_text(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node_id", "text"))), lambda x: x["text"]), " ")).alias("page_text"))
 
 
 def mailto_emails(nodes: DataFrame) -> DataFrame:

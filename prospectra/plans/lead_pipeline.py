@@ -47,7 +47,7 @@ def run(spark: SparkSession, companies: DataFrame, snapshot: DataFrame, folder:
     candidates = stored(people.page_people(nodes.join(leading.select("page_id").distinct(), "page_id", "left_semi"), leading), "cxo_people")
     validated = stored(L.validate(candidates), "validated")
     final = stored(L.final_leads(validated), "final")
-    texts = O.page_texts(nodes, ["script", "style", "noscript", "svg"], None)
+    texts = O.page_texts(nodes, ["script", "style", "noscript", "svg"])
     sources = fetched.select(U.strict_url("page_url").alias("source_url"), "page_id", "page_no", "final_url", "status", "content_type", "error")
     sources = first_of(sources, order="page_no", source_url=F.col("source_url")).join(texts, "page_id", "left").drop("page_id", "page_no")
     links = fetched.select(U.strict_url("page_url").alias("source_url"), "page_id", F.col("final_url").alias("homepage")).join(O.anchors(nodes).select("page_id", "node_id", "parent_id", "href", F.col("text").alias("anchor")), "page_id")

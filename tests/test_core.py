@@ -271,3 +271,14 @@ def test_titles_without_semicolons(spark):
 def test_texts_without_semicolons(spark):
     got, want = _against_duckdb(spark, "visible_text", _pages(spark, (1, "<html><body><p>a &amp; b&amp</p><p>c&nbsp;d</p></body></html>")))
     assert got == want == [repr((100, "a & b&amp c d"))]
+
+
+def test_whole_text_of_long_pages(spark):
+    words = " ".join(f"word{n}" for n in range(4000))
+    tables = _pages(spark, (1, f"<html><body><p>{words}</p><p>mail last@h.test or 555 010 0199</p></body></html>"))
+    got, want = _against_duckdb(spark, "visible_text", tables)
+    assert got == want == [repr((100, f"{words} mail last@h.test or 555 010 0199"))]
+    info = {"company_name": "Co", "company_domain": "", "page_url": "u", "page_type": "other", "final_url": "u", "content_type": "text/html"}
+    fetched = tables["pages"].select("page_id", *(F.lit(v).alias(k) for k, v in info.items()), F.lit(0).alias("score"), F.lit(200).alias("status"), F.lit(None).cast("string").alias("error"))
+    row = O.page_contacts(fetched, dom.dom_nodes(tables["pages"])).collect()[0]
+    assert (row.emails, row.phone_numbers) == ("last@h.test", "555 010 0199")
