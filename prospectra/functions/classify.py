@@ -107,9 +107,13 @@ def path_score(url) -> Column:
 
 
 def role_match_score(title, candidate) -> Column:
-    shared = lambda a, b: sum(F.when(F.contains(a, F.lit(t)) & F.contains(b, F.lit(t)), 1).otherwise(0) for t in R.MATCH_TERMS)
-    points = lambda a, b: F.when((a == "") | (b == ""), 0).when(F.contains(b, a), 35).otherwise(F.least(8 * shared(a, b), F.lit(25)))
-    return T.bind(T.match_key(title), lambda a: T.bind(T.match_key(candidate), lambda b: points(a, b)))
+    return T.bind(T.match_key(candidate), lambda b: role_match(title, b))
+
+
+def role_match(title, low: Column) -> Column:
+    """role_match_score of a text that is a match key already."""
+    shared = lambda a: sum(F.when(F.contains(a, F.lit(t)) & F.contains(low, F.lit(t)), 1).otherwise(0) for t in R.MATCH_TERMS)
+    return T.bind(T.match_key(title), lambda a: F.when((a == "") | (low == ""), 0).when(F.contains(low, a), 35).otherwise(F.least(8 * shared(a), F.lit(25))))
 
 
 def link_score(name, title, url, anchor, context) -> Column:

@@ -20,7 +20,7 @@ def bind(value: Column, body) -> Column:
 
 def clean_text(value: str | Column) -> Column:
     """Runs of Unicode white space become one space; none at the ends."""
-    return F.btrim(F.regexp_replace(F.coalesce(column(value).cast("string"), F.lit("")), r"(?U)\s+", " "))
+    return F.btrim(F.regexp_replace(F.coalesce(column(value).cast("string"), F.lit("")), r"(?U)[\s&&[^ ]]\s*+| \s++", " "))  # lone spaces stay untouched
 
 
 def match_key(value: str | Column) -> Column:

@@ -17,6 +17,7 @@ from ..operators import keyed
 from ..operators import leads as L
 from ..operators import summaries as S
 from ..sources import tables
+from ..sources.stored import spread
 from . import duck as D
 from . import fixtures
 from .scalar import found_emails, links_sql, resolved_links
@@ -245,7 +246,7 @@ _BIO = "'Profile of ' || coalesce(person_name, '') || ' who serves as ' || coale
 def bio_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.extract import bio_excerpt as excerpt
 
-    x = leads(spark, sf_dir).withColumn("page", F.expr(f"repeat('x ', int(seq % 90)) || {_BIO} || repeat(' tail', int(seq % 200))"))
+    x = spread(leads(spark, sf_dir).select("seq", "person_name", "designation"), "seq").withColumn("page", F.expr(f"repeat('x ', int(seq % 90)) || {_BIO} || repeat(' tail', int(seq % 200))"))
     return x.select("seq", excerpt("page", "person_name", "designation").alias("excerpt"))
 
 

@@ -34,3 +34,12 @@ def materialised(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out to all cores by their keys, for work that is large beside its input.
+
+    A file is read by as many tasks as it has row groups, often one; and few bytes are put into few partitions, unless their number is given.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)

@@ -282,3 +282,14 @@ def test_whole_text_of_long_pages(spark):
     fetched = tables["pages"].select("page_id", *(F.lit(v).alias(k) for k, v in info.items()), F.lit(0).alias("score"), F.lit(200).alias("status"), F.lit(None).cast("string").alias("error"))
     row = O.page_contacts(fetched, dom.dom_nodes(tables["pages"])).collect()[0]
     assert (row.emails, row.phone_numbers) == ("last@h.test", "555 010 0199")
+
+
+def test_excerpts_of_one_file_are_dealt_out(spark, tmp_path):
+    """A table read by one task is worked on by several, with the same excerpts."""
+    from prospectra.plans import catalogue
+
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    df = catalogue.queries()["bio_excerpt"](spark, str(tmp_path))
+    assert df.rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism
+    got, want = _against_duckdb(spark, "bio_excerpt", {"customer": spark.read.parquet(str(tmp_path / "customer.parquet"))})
+    assert got == want and values(spark, ["\xa0\xa0a \t b\t c d\n", " ", " "], T.clean_text("a")) == ["a b c d", "", ""]
