@@ -18,6 +18,11 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns evaluated once a row: filters and columns on top of them aren't merged into them, as they are through a projection."""
+    return df.select(*(c for c in df.columns if c not in columns), F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
 def clean_text(value: str | Column) -> Column:
     """Runs of Unicode white space become one space; none at the ends."""
     return F.btrim(F.regexp_replace(F.coalesce(column(value).cast("string"), F.lit("")), r"(?U)[\s&&[^ ]]\s*+| \s++", " "))  # lone spaces stay untouched

@@ -33,13 +33,15 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
 def probes(homes: DataFrame) -> DataFrame:
     """(seq, homepage) by the 24 common paths, one row per distinct address."""
     paths = F.array(*(F.struct(F.lit(n).alias("path_no"), F.lit(p).alias("path"), F.lit(t).alias("expected_type")) for n, (p, t) in enumerate(R.COMMON_PATHS)))
-    x = homes.select("*", F.inline(paths)).withColumn("candidate", U.crawl_url(F.concat(F.lit("/"), "path"), "homepage"))
-    return x.filter("candidate <> ''")
+    # a path changes nothing of its address but the end and the length, so a homepage is taken apart once for all of them
+    x = T.computed(homes, _root=U.crawl_url(F.lit("/"), "homepage"), _room=R.MAX_URL_LENGTH - F.length(U.resolve("homepage", F.lit("/"))))
+    x = x.filter("_root <> ''").select("*", F.inline(paths)).filter(F.length("path") <= F.col("_room"))
+    return x.withColumn("candidate", F.concat("_root", "path")).drop("_root", "_room")
 
 
 def _judged(x: DataFrame, url: str, anchor: str | Column, home: str) -> DataFrame:
     kind = C.page_type(url, anchor, home)
-    return x.withColumn("page_type", kind).withColumn("score", C.page_score(F.col("page_type")))
+    return T.computed(x, page_type=kind).withColumn("score", C.page_score(F.col("page_type")))
 
 
 def probed_candidates(homes: DataFrame, crawl: DataFrame, distinct: bool = False) -> DataFrame:
@@ -59,14 +61,14 @@ def link_candidates(anchors: DataFrame) -> DataFrame:
     shunned = F.lit(False)
     for start in R.SKIPPED_LINKS:
         shunned = shunned | low.startswith(start)
-    x = anchors.filter((low != "") & ~shunned).withColumn("url", U.crawl_url("href", "homepage")).filter((F.col("url") != "") & P.same_domain("url", "homepage") & ~P.excluded_path("url"))
+    x = T.computed(anchors.filter((low != "") & ~shunned), url=U.crawl_url("href", "homepage")).filter((F.col("url") != "") & P.same_domain("url", "homepage") & ~P.excluded_path("url"))
     x = _judged(x, "url", "anchor_text", "homepage").filter(F.col("score") >= R.MIN_PAGE_SCORE)
     return first_of(x.select("company", "homepage", "seq", "url", "page_type", "score", T.clean_text("anchor_text").alias("anchor_text")), company=F.col("company"), url=F.col("url"))
 
 
 def sitemap_candidates(urls: DataFrame, homepage_read: bool = True) -> DataFrame:
     """URLs of sitemaps (company, homepage, seq, url). Without a readable homepage they are neither normalised nor held to a score."""
-    x = urls.withColumn("url", U.crawl_url("url")) if homepage_read else urls
+    x = T.computed(urls, url=U.crawl_url("url")) if homepage_read else urls
     x = _judged(x.filter((F.col("url") != "") & P.same_domain("url", "homepage")).withColumn("anchor_text", F.lit("")), "url", "anchor_text", "homepage")
     x = x.filter(F.col("score") >= R.MIN_PAGE_SCORE) if homepage_read else x.filter(~P.excluded_path("url"))
     return x.select("company", "homepage", "seq", "url", "page_type", "score", "anchor_text")

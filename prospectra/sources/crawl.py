@@ -90,7 +90,7 @@ def sitemap_urls(homes: DataFrame, crawl: DataFrame, distinct: bool = False) ->
     read = fetch(maps, "sitemap", good, distinct=True).filter(is_sitemap("content_type", "body"))
     listed = read.select("company", "homepage", "rank", F.lower(F.substring("body", 1, 5000)).contains("<sitemapindex").alias("is_index"), F.posexplode(sitemap_locations("body")).alias("place", "url"))
     direct = listed.filter("NOT is_index").select("company", "homepage", F.col("rank").alias("a"), F.col("place").alias("b"), F.lit(0).alias("c"), "url")
-    children = listed.filter(F.col("is_index") & (F.col("place") < R.MAX_CHILD_SITEMAPS)).withColumn("child", U.crawl_url("url")).filter((F.col("child") != "") & P.same_domain("child", "homepage"))
+    children = T.computed(listed.filter(F.col("is_index") & (F.col("place") < R.MAX_CHILD_SITEMAPS)), child=U.crawl_url("url")).filter((F.col("child") != "") & P.same_domain("child", "homepage"))
     deeper = fetch(children, "child", good, distinct=True).filter("body IS NOT NULL").select("company", "homepage", F.col("rank").alias("a"), F.col("place").alias("b"), F.posexplode(sitemap_locations("body")).alias("c", "url"))
     everything = direct.unionByName(deeper).withColumn("order", F.struct("a", "b", "c"))
     once = first_of(everything, order="order", company=F.col("company"), url=F.col("url"))

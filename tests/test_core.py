@@ -293,3 +293,20 @@ def test_excerpts_of_one_file_are_dealt_out(spark, tmp_path):
     assert df.rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism
     got, want = _against_duckdb(spark, "bio_excerpt", {"customer": spark.read.parquet(str(tmp_path / "customer.parquet"))})
     assert got == want and values(spark, ["\xa0\xa0a \t b\t c d\n", " ", " "], T.clean_text("a")) == ["a b c d", "", ""]
+
+
+def test_addresses_are_taken_apart_once(spark):
+    """Filters on a computed address don't compute it anew, and probes are what each path's own address is."""
+    from prospectra.functions import rules as R
+    from prospectra.operators import discovery
+
+    anchors = spark.createDataFrame([(1, "https://h.example/", 1, "/team#a", "Our team"), (1, "https://h.example/", 2, "https://o.example/team", "Team")], "company long, homepage string, seq long, href string, anchor_text string")
+    found = discovery.link_candidates(anchors)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("[^:@") == 1
+    assert [(r.url, r.page_type) for r in found.collect()] == [("https://h.example/team", "team")]
+    homes = ["https://www.H.example:0443/a?b#c", "http://u@h.example", "", "ftp://h.example", "https://h.example:x/", f"https://{'h' * 2027}.example/", "h.example", "https://h.example/a;b?c=/d"]
+    homes += [f"https://h{'h' * n}.example/" for n in range(2010, 2035)]
+    df = spark.createDataFrame(list(enumerate(homes)), "seq long, homepage string")
+    plain = df.crossJoin(spark.createDataFrame(R.COMMON_PATHS, "path string, expected_type string")).withColumn("candidate", U.crawl_url(F.concat(F.lit("/"), "path"), "homepage")).filter("candidate <> ''")
+    rows = lambda x: sorted((r.seq, r.path, r.candidate) for r in x.collect())
+    assert rows(discovery.probes(df)) == rows(plain) and len(rows(plain)) > 100
