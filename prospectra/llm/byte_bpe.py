@@ -1,68 +1,49 @@
-"""Byte-level BPE ids of whole texts, from the ``tokenizers`` library, with a bounded cache of space-delimited pieces.
+"""Byte-level BPE ids of whole texts, from the ``tokenizers`` library, a batch of texts at a time.
 
-The vocabulary's pre-tokenizer cuts a text before every single space that a visible character follows and around
-single line feeds, whatever stands elsewhere. A text can therefore be encoded piece by piece, and a
-piece that was seen before needs no second run of the merge loop. Texts with other white space take the library's own path.
+The vocabulary's pre-tokenizer cuts a text before the last character of a run of white space that something visible follows (a space
+there joins it), around the run's rest and behind words, whatever stands elsewhere. A batch's bytes are therefore cut into pieces
+by comparisons of whole arrays; every different piece of a batch is encoded once, by the library, and a bounded cache
+keeps it for the next batch. Texts with other white space, or with a control string, take the library's own path.
 """
 
 from __future__ import annotations
 
 import re
-from functools import cache, lru_cache
-from struct import pack
+import string
+from codecs import charmap_decode
+from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces that one cache keeps before it starts again; bounds a Python worker's memory.
-CACHE_PIECES = 600_000
-_RUNS = re.compile(r"[ \n]{2}")
-_WHITE = re.compile(r"([ \n\t\r]+)")
+#: Pieces that one cache keeps before it starts again, bytes of texts that are encoded at a time (or one text), and bytes that are
+#: compared at a time; bound a Python worker's memory.
+CACHE_PIECES, SLICE_BYTES, BLOCK_BYTES = 600_000, 8 << 20, 1 << 18
 #: White space (in any engine's reading) besides space, tab, line feed and carriage return.
-_STRANGE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+_STRANGE = "[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
+#: A word of these letters is one pre-token, in any Unicode version, with or without a space before it.
+_LETTERS = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+_WHITE, _LETTER, _MARK = 1, 2, 3
 
 
-#: A word of these letters is one pre-token, in any Unicode version.
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
-_POINTS = frozenset(".,;:!?")
+def _byte_letters() -> str:
+    """At each byte's place the visible character that stands for it in a byte-level vocabulary: itself where printable, else one from U+0100 on.
 
+    A line feed stays one: it parts words.
+    """
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return "".join(chr(b) if b in shown or b == 10 else chr(0x100 + hidden.index(b)) for b in range(256))
 
-def _byte_letters() -> dict[int, str]:
-    """Byte -> the visible character that stands for it in a byte-level vocabulary: itself where printable, else from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {b: chr(b) for b in shown} | {b: chr(0x100 + n) for n, b in enumerate(hidden)}
 
-
-class _Pieces(dict):
-    """Piece -> its ids as little-endian unsigned 32-bit bytes. before: a space that stands ahead of each piece, or nothing."""
-
-    def __init__(self, tokenizer, before: str):
-        super().__init__()
-        self.tokenizer, self.model, self.before = tokenizer, tokenizer.model, before
-        self.letters = _byte_letters()
-
-    def __missing__(self, piece: str) -> bytes:
-        if piece[-1:] in _POINTS and _LETTERS(piece[:-1]):
-            return self[piece[:-1]] + self._ids(piece[-1])
-        if _LETTERS(piece):
-            shown = self.before + piece
-            shown = shown.replace(" ", "\u0120") if shown.isascii() else shown.encode().decode("latin-1").translate(self.letters)
-            ids = [token.id for token in self.model.tokenize(shown)]
-            ids = pack(f"<{len(ids)}I", *ids)
-        else:
-            ids = self._ids(self.before + piece)
-        if len(piece) <= 64:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    @lru_cache(64)
-    def _ids(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids if text else []
-        return pack(f"<{len(ids)}I", *ids)
-
-    __hash__ = object.__hash__
+def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of large strings (or binaries), from the first one on."""
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    return offsets - offsets[0], data[offsets[0] : offsets[-1]]
 
 
 class ByteBpe:
@@ -71,40 +52,86 @@ class ByteBpe:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        self.spaced, self.bare = _Pieces(self.tokenizer, " "), _Pieces(self.tokenizer, "")
+        self.model, self.known = self.tokenizer.model, {}
+        self.letters = _byte_letters()
+        self.packed = [n.to_bytes(4, "little") for n in range(max(self.tokenizer.get_vocab().values()) + 1)]
+        # A control string is found before white space is looked at: "  <|x|>" is two spaces, not one and a word.
+        control = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (t.special and special_as_text)]
+        self.strange = "|".join([_STRANGE, *map(re.escape, control)])
+        self.kinds = np.zeros(256, np.uint8)
+        # An apostrophe may belong to what follows, so it is no mark.
+        for kind, characters in ((_WHITE, " \n\t\r"), (_LETTER, string.ascii_letters), (_MARK, string.punctuation.replace("'", ""))):
+            self.kinds[list(characters.encode())] = kind
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit bytes."""
-        if _STRANGE.search(text) or "\t" in text or "\r" in text or _RUNS.search(text):
-            return self._uneven(text)
-        line_feed, spaced, bare, out = self.bare["\n"], self.spaced, self.bare, []
-        for n, line in enumerate(text.split("\n")):
-            if n:
-                out.append(line_feed)
-            first, *rest = line.split(" ")
-            if first:
-                out.append(bare[first])
-            out += map(spaced.__getitem__, rest)
-        return b"".join(out)
-
-    def _uneven(self, text: str) -> bytes:
-        """Runs of white space: all but the run's last character form a token, a last space joins the next word."""
-        if _STRANGE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts, out = _WHITE.split(text), []
-        if parts[0]:
-            out.append(self.bare[parts[0]])
-        for white, word in zip(parts[1::2], parts[2::2], strict=True):
-            if not word:
-                out.append(self.bare[white])
-                continue
-            if len(white) > 1:
-                out.append(self.bare[white[:-1]])
-            if white[-1] == " ":
-                out.append(self.spaced[word])
-            else:
-                out += (self.bare[white[-1]], self.bare[word])
-        return b"".join(out)
+        return bytes(*self.encode_all(pa.array([text], pa.large_string())))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes | memoryview]:
+        """The ids of each of an array's whole texts, in their order, as little-endian unsigned 32-bit bytes. A null is empty.
+
+        What is yielded is a view of a slice's ids: a caller that keeps it copies it.
+        """
+        texts = texts.cast(pa.large_string()).fill_null("")
+        ends, start = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), 0
+        while start < len(texts):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+            part, start = texts.slice(start, stop - start), stop
+            strange = pc.match_substring_regex(part, self.strange)
+            even = self._even(part.filter(pc.invert(strange)) if pc.any(strange).as_py() else part)
+            for n, other in enumerate(strange.to_pylist()):
+                yield b"".join(map(self.packed.__getitem__, self._ids(part[n].as_py()))) if other else next(even)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _even(self, texts: pa.Array) -> Iterator[memoryview]:
+        """The ids of large strings without strange white space or control strings."""
+        offsets, data = _buffers(texts)
+        bounds = self._bounds(offsets, data)
+        pieces = pa.Array.from_buffers(pa.large_string(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        places = np.searchsorted(bounds, offsets)
+        del bounds
+        coded, ids = _buffers(pa.array(self._coded(pieces.dictionary), pa.large_binary()).take(pieces.indices))
+        places, ids = coded[places].tolist(), memoryview(ids)
+        for n in range(len(texts)):
+            yield ids[places[n] : places[n + 1]]
+
+    def _bounds(self, offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """Where pieces start and the last one ends: a word starts with the space before it, what follows it with a mark or white space."""
+        cut, final = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+        final[offsets[1:] - 1] = True
+        for at in range(1, len(data), BLOCK_BYTES):
+            first = max(at - 2, 0)
+            block = data[first : at + BLOCK_BYTES + 1]
+            kinds = self.kinds[block]
+            white, letter = kinds == _WHITE, kinds == _LETTER
+            letter[1:] |= (block[:-1] == 0xC3) & (block[1:] != 0x97) & (block[1:] != 0xB7)  # À to ÿ, but for × and ÷
+            here = white[1:] & ~white[:-1] | ~white[1:] & white[:-1] & (block[:-1] != 0x20) | (kinds[1:] == _MARK) & letter[:-1]
+            # The last one of a run of white space, if something follows in the same text.
+            here[:-1] |= white[1:-1] & ~white[2:] & ~final[first + 1 : first + len(block) - 1]
+            stop = min(at + BLOCK_BYTES, len(data))
+            cut[at:stop] = here[at - first - 1 : stop - first - 1]
+        cut[offsets] = True
+        return np.flatnonzero(cut)
+
+    def _coded(self, pieces: pa.Array) -> list[bytes]:
+        """The ids of different pieces."""
+        words, packed, tokenize = pieces.to_pylist(), self.packed, self.model.tokenize
+        out = list(map(self.known.get, words))
+        new = [n for n, ids in enumerate(out) if ids is None]
+        if len(self.known) + len(new) > CACHE_PIECES:
+            self.known.clear()
+        simple = pc.match_substring_regex(pieces.take(pa.array(new, pa.int64())), _LETTERS).to_pylist()
+        shown = charmap_decode("\n".join(words[n] for n, one in zip(new, simple, strict=True) if one).encode(), "strict", self.letters)[0]
+        shown = iter(shown.split("\n"))
+        for n, one in zip(new, simple, strict=True):
+            word = words[n]
+            out[n] = ids = b"".join([packed[t.id] for t in tokenize(next(shown))] if one else [packed[k] for k in self._ids(word)])
+            if len(word) <= 64:
+                self.known[word] = ids
+        return out
 
 
 @cache

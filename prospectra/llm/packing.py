@@ -108,8 +108,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, key: str =
             return batch
 
         for batch in batches:
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = memoryview(encoder.encode(value.as_py()) + end)
+            for doc, coded in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
+                ids = memoryview(b"".join((coded, end)))
                 emitted(packer.place((doc, len(ids) // 4), 0, ids))
                 if len(rows) >= 5000:
                     yield flushed()

@@ -52,11 +52,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, separator: int, folder: s
             return pa.RecordBatch.from_arrays(rows, ["path", "n_bytes", "first_doc", "ids"])
 
         for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for key, coded in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
                 if out is None:
                     name, written, first = f"{base}/{uuid.uuid4().hex}.bin", 0, 0
                     out = store.open_output_stream(name)
-                ids = np.frombuffer(encoder.encode(value.as_py()), "<u4")
+                ids = np.frombuffer(coded, "<u4")
                 if len(ids) and ids.max() > top:
                     raise ValueError(f"ids above {top} don't fit {dtype}")
                 written += out.write(ids.astype(dtype).tobytes() + end)

@@ -5,13 +5,15 @@ import re
 import time
 from hashlib import sha256
 from html.parser import HTMLParser
+from types import SimpleNamespace
 from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
-from prospectra.llm import chat_format, gif_media, html_text, packing, sentencepiece_codec, token_counts
+from prospectra.llm import byte_bpe, chat_format, gif_media, html_text, packing, sentencepiece_codec, token_counts
 from prospectra.llm.byte_bpe import ByteBpe
 from prospectra.llm.shared import shared_dir
 
@@ -47,6 +49,33 @@ def test_byte_bpe(plain):
         assert np.frombuffer(own.encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
 
 
+def test_byte_bpe_control_string_behind_white_space(plain):
+    own = ByteBpe(BPE)
+    for t in ("x\n\n<|endoftext|>y", "x\n \n<|endoftext|>\n\n", "\t\n\n<|endoftext|> 's  a"):
+        assert np.frombuffer(own.encode(t), "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
+
+
+def test_byte_bpe_batches(plain, monkeypatch):
+    own, many = ByteBpe(BPE), [*texts(), "été.*** ÷a×. ÿ% a.b,c", "a\tb\r\n", "\n\n"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in many]
+    for slice_bytes, cache_pieces in ((1, 3), (500, 100), (1 << 20, 1 << 20)):
+        monkeypatch.setattr(byte_bpe, "SLICE_BYTES", slice_bytes)
+        monkeypatch.setattr(byte_bpe, "CACHE_PIECES", cache_pieces)
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode_all(pa.array(["cut off", *many, None, "cut off"]).slice(1, len(many) + 1))]
+        assert got == [*want, []]
+    assert list(own.encode_all(pa.array([], pa.string()))) == []
+
+
+def test_byte_bpe_asks_for_a_word_once_whatever_marks_follow():
+    own, asked = ByteBpe(BPE), []
+    model, tokenizer = own.model, own.tokenizer
+    own.model = SimpleNamespace(tokenize=lambda piece: asked.append(piece) or model.tokenize(piece))
+    own.tokenizer = SimpleNamespace(encode=lambda text, **options: asked.append(text) or tokenizer.encode(text, **options))
+    for _ in range(3):
+        list(own.encode_all(pa.array(["x thon été thon. été. thon*** été*** thon$$$ été$$$\nthon, été, thon," * 9] * 50)))
+    assert len(asked) == len(set(asked)) <= 14, asked
+
+
 def test_packing(spark, docs, plain):
     rows = packing.pack_documents(docs, BPE).collect()
     by_doc, by_sequence = {}, {}
