@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 
 #: Pieces that one cache keeps before it starts again, bytes of texts that are encoded at a time (or one text), and bytes that are
 #: compared at a time; bound a Python worker's memory.
-CACHE_PIECES, SLICE_BYTES, BLOCK_BYTES = 600_000, 8 << 20, 1 << 18
+CACHE_PIECES, SLICE_BYTES, BLOCK_BYTES = 300_000, 2 << 20, 1 << 18
 #: White space (in any engine's reading) besides space, tab, line feed and carriage return.
 _STRANGE = "[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
 #: A word of these letters is one pre-token, in any Unicode version, with or without a space before it.
@@ -46,6 +46,14 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], data[offsets[0] : offsets[-1]]
 
 
+class _Packed(dict):
+    """Id -> its four bytes."""
+
+    def __missing__(self, n: int) -> bytes:
+        self[n] = out = n.to_bytes(4, "little")
+        return out
+
+
 class ByteBpe:
     def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
@@ -54,7 +62,7 @@ class ByteBpe:
         self.tokenizer.encode_special_tokens = special_as_text
         self.model, self.known = self.tokenizer.model, {}
         self.letters = _byte_letters()
-        self.packed = [n.to_bytes(4, "little") for n in range(max(self.tokenizer.get_vocab().values()) + 1)]
+        self.packed = _Packed()
         # A control string is found before white space is looked at: "  <|x|>" is two spaces, not one and a word.
         control = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (t.special and special_as_text)]
         self.strange = "|".join([_STRANGE, *map(re.escape, control)])
@@ -72,8 +80,10 @@ class ByteBpe:
 
         What is yielded is a view of a slice's ids: a caller that keeps it copies it.
         """
-        texts = texts.cast(pa.large_string()).fill_null("")
-        ends, start = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), 0
+        texts = texts.cast(pa.large_string())
+        if texts.null_count:
+            texts = texts.fill_null("")
+        ends, start = _buffers(texts)[0][1:] if len(texts) else (), 0
         while start < len(texts):
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
